@@ -95,7 +95,7 @@ def _weighted_match(c: Column, golden: Sequence[str], threshold: float) -> Colum
     @F.pandas_udf("string")
     def match(values: pd.Series) -> pd.Series:
         known = {v: best(v) for v in values.dropna().unique()}
-        return values.map(known)
+        return pd.Series([known.get(v) for v in values], dtype=object)
 
     return match(c)
 

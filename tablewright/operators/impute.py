@@ -15,9 +15,9 @@ from tablewright.operators.stats import fit_modes
 STRATEGIES = ("auto", "ffill", "bfill")
 
 
-def fit_fill_values(df: DataFrame) -> tuple[dict, dict]:
-    """Medians of the numeric columns and modes of the text columns."""
-    return exact_medians(df, numeric_columns(df)), fit_modes(df, text_columns(df))
+def fit_fill_values(df: DataFrame, exclude: Sequence[str] = ()) -> tuple[dict, dict]:
+    """Medians of the numeric columns and modes of the text columns, without ``exclude``."""
+    return exact_medians(df, numeric_columns(df, exclude)), fit_modes(df, text_columns(df, exclude))
 
 
 def fill_values(df: DataFrame, medians: Mapping, modes: Mapping) -> DataFrame:

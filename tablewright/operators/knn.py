@@ -156,7 +156,7 @@ class KNNModel:
                 visits = (at_home.join(bound, "test_key")
                           .select("test_key", "x", F.col("cell").alias("home"), others("x", "bound").alias("cells"))
                           .select("test_key", "x", F.explode(F.array_except("cells", F.array("home"))).alias("cell")))
-                found = found.unionByName(_top_k(self._search(materialise(visits, "knn-visits"), trains, sizes, k), k))
+                found = found.unionByName(self._search(materialise(visits, "knn-visits"), trains, sizes, k))
         return _top_k(found, k)
 
     def _search(self, visits: DataFrame, trains: DataFrame, sizes: Sequence[int], k: int) -> DataFrame:
