@@ -13,13 +13,14 @@ NULL_TOKENS = ("nan", "none", "null", "")
 # Age ranges (lowest age, highest age, label); no upper bound is None.
 AGE_RANGES = ((16, 25, "16-25"), (26, 39, "26-39"), (40, 64, "40-64"), (65, None, "65+"))
 
-# White space as Unicode defines it, plus the four ASCII separators that Python's strip also removes.
-_EDGE_SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+# The characters that count as white space at the edges of a text.
+_EDGE_SPACE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008"
+               "\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
 
 
 def normalise_text(c: Column) -> Column:
     """Text in lower case without leading and trailing white space of any kind."""
-    return F.regexp_replace(F.lower(c.cast("string")), _EDGE_SPACE, "")
+    return F.btrim(F.lower(c.cast("string")), F.lit(_EDGE_SPACE))
 
 
 def null_tokens(c: Column, tokens: Sequence[str] = NULL_TOKENS) -> Column:

@@ -146,13 +146,14 @@ def fit_scalers(df: DataFrame, columns: Sequence[str], strategy: str | None = "a
         return {}
     columns = [c for c in columns if c in df.columns]
     ordinal = [c for c in ordinal if c in df.columns]
-    coded = {f"{c}": F.coalesce(q(c).cast("double"), F.lit(0.0)) for c in ordinal}
-    moments = fit_moments(df, [*columns, *[c for c in ordinal if c not in columns]],
-                          ("count", "missing", "min", "max", "mean", "std", "skew"), coded)
+    coded = {c: F.coalesce(q(c).cast("double"), F.lit(0.0)) for c in ordinal}
+    wanted = {"auto": ("missing", "skew"), "standard": ("missing", "mean", "std"), "robust": ("missing",),
+              "minmax": ()}[strategy]
+    moments = fit_moments(df, [*columns, *[c for c in ordinal if c not in columns]], ("min", "max", *wanted), coded)
 
     kinds = {}
     for c in columns:
-        skew = moments[c]["skew"]
+        skew = moments[c].get("skew")
         if strategy != "auto":
             kinds[c] = strategy
         elif skew is None or math.isnan(skew) or (moments[c]["missing"] and skew_with_missing == "minmax"):
@@ -160,8 +161,8 @@ def fit_scalers(df: DataFrame, columns: Sequence[str], strategy: str | None = "a
         else:
             kinds[c] = "power" if abs(skew) > 1 else "robust" if abs(skew) > 0.5 else "minmax"
 
-    missing = {c: moments[c]["missing"] for c in columns}
-    filled = _filled(df, [c for c in columns if kinds[c] != "minmax" and moments[c]["count"]], missing)
+    missing = {c: moments[c].get("missing", 0) for c in columns}
+    filled = _filled(df, [c for c in columns if kinds[c] != "minmax" and moments[c]["min"] is not None], missing)
     robust = [c for c in filled if kinds[c] == "robust"]
     quartiles = exact_quantiles(df, {c: [0.25, 0.5, 0.75] for c in robust}, filled)
     power = {c: e for c, e in filled.items() if kinds[c] == "power"}
@@ -173,7 +174,7 @@ def fit_scalers(df: DataFrame, columns: Sequence[str], strategy: str | None = "a
     scalers = {}
     for c in columns:
         m = moments[c]
-        if not m["count"]:
+        if m["min"] is None:
             continue
         if kinds[c] == "minmax":
             scalers[c] = _minmax(m["min"], m["max"])

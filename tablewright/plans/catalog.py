@@ -868,7 +868,7 @@ clean AS (SELECT ID, {", ".join(filled)} FROM nulled),
 engineered AS (SELECT *, MARRIED + CHILDREN + VEHICLE_OWNERSHIP AS FAMILY_STABILITY FROM clean),
 {holdout_sql("engineered", "ID", "OUTCOME")},
 pre AS (SELECT {", ".join(pre)} FROM marked),
-final AS (SELECT ID AS row_key, is_test, OUTCOME, {", ".join(out)}, {", ".join(codes)} FROM pre)"""
+final AS (SELECT ID AS row_key, is_test, CAST(OUTCOME AS INT) AS OUTCOME, {", ".join(out)}, {", ".join(codes)} FROM pre)"""
 
 
 RISK_SQL = _risk_sql()

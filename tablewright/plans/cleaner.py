@@ -15,7 +15,7 @@ from tablewright.operators.impute import STRATEGIES, impute
 from tablewright.operators.quantiles import exact_medians
 from tablewright.operators.ranges import enforce_ranges
 from tablewright.operators.stats import fit_modes
-from tablewright.session import materialise
+from tablewright.session import materialise, run_together
 
 
 @dataclass(frozen=True)
@@ -56,19 +56,37 @@ class Cleaner:
         if self.config.fit_on not in ("raw", "cleaned"):
             raise ValueError(f"unknown fit_on {self.config.fit_on!r}")
 
-    def fit(self, df: DataFrame) -> CleanerModel:
-        cfg = self.config
+    def _unfitted(self, df: DataFrame) -> CleanerModel:
+        return CleanerModel(self.config, numeric_columns(df, [*self._skipped(), *self.config.exclude_from_numeric]), {}, {})
+
+    def _skipped(self) -> set:
         # A dropped column is never filled, so its statistics are not worth a pass.
-        skip = {*cfg.cols_to_drop, cfg.row_key}
-        numeric = numeric_columns(df, [*skip, *cfg.exclude_from_numeric])
-        model = CleanerModel(cfg, numeric, {}, {})
-        source = df if cfg.fit_on == "raw" else model.checked(df)
-        medians = exact_medians(source, [c for c in numeric_columns(source, skip) if c in numeric])
-        modes = fit_modes(source, text_columns(source, skip))
-        return CleanerModel(cfg, numeric, medians, modes)
+        return {*self.config.cols_to_drop, self.config.row_key}
+
+    def _learn(self, model: CleanerModel, source: DataFrame) -> CleanerModel:
+        numbers = [c for c in numeric_columns(source) if c in model.numeric]
+        texts = text_columns(source, self._skipped())
+        medians, modes = run_together(source.sparkSession, lambda: exact_medians(source, numbers),
+                                      lambda: fit_modes(source, texts))
+        return CleanerModel(self.config, model.numeric, medians, modes)
+
+    def fit(self, df: DataFrame) -> CleanerModel:
+        model = self._unfitted(df)
+        return self._learn(model, df if self.config.fit_on == "raw" else model.checked(df))
+
+    def fit_clean(self, df: DataFrame) -> tuple[CleanerModel, DataFrame]:
+        """Model and cleaned table. The checks do not depend on the fill values, so both run side by
+        side, or, fitted on the cleaned table, share it."""
+        model = self._unfitted(df)
+        if self.config.fit_on == "raw":
+            fitted, checked = run_together(df.sparkSession, lambda: self._learn(model, df), lambda: model.checked(df))
+        else:
+            checked = model.checked(df)
+            fitted = self._learn(model, checked)
+        return fitted, fitted.filled(checked)
 
     def fit_transform(self, df: DataFrame) -> DataFrame:
-        return self.fit(df).transform(df)
+        return self.fit_clean(df)[1]
 
 
 @dataclass(frozen=True)
@@ -81,18 +99,17 @@ class CleanerModel:
     def standardise(self, df: DataFrame) -> DataFrame:
         """The row-wise steps on text: normalise, null tokens, fuzzy repair, ages."""
         cfg = self.config
+        if cfg.age_col in df.columns and cfg.age_col not in cfg.golden_specs:
+            raise ValueError(f"golden_specs must list the valid labels of {cfg.age_col!r}")
+        specs = {c: golden for c, golden in cfg.golden_specs.items() if c in df.columns}
+        # Two projections, so that a text is normalised once and not at each of its uses below.
+        df = replace_columns(df, {c: normalise_text(q(c)) for c in specs})
         changes = {}
-        for c, golden in cfg.golden_specs.items():
-            if c not in df.columns or c == cfg.age_col:
-                continue
-            tokens = [t for t in cfg.null_tokens if not (cfg.protect_golden and t in golden)]
-            text = null_tokens(normalise_text(q(c)), tokens)
-            changes[c] = canonicalise(text, golden, cfg.fuzzy_threshold, cfg.fuzzy_scorer)
-        if cfg.age_col in df.columns:
-            if cfg.age_col not in cfg.golden_specs:
-                raise ValueError(f"golden_specs must list the valid labels of {cfg.age_col!r}")
-            text = null_tokens(normalise_text(q(cfg.age_col)), cfg.null_tokens)
-            changes[cfg.age_col] = age_bucket(text, cfg.golden_specs[cfg.age_col])
+        for c, golden in specs.items():
+            tokens = [t for t in cfg.null_tokens if c == cfg.age_col or not (cfg.protect_golden and t in golden)]
+            text = null_tokens(q(c), tokens)
+            changes[c] = (age_bucket(text, golden) if c == cfg.age_col
+                          else canonicalise(text, golden, cfg.fuzzy_threshold, cfg.fuzzy_scorer))
         return replace_columns(df, changes)
 
     def checked(self, df: DataFrame, write: bool = True) -> DataFrame:
@@ -106,10 +123,12 @@ class CleanerModel:
             out = materialise(out, "cleaned")
         return enforce_ranges(out, cfg.range_rules, cfg.max_drop_ratio)
 
-    def transform(self, df: DataFrame, write: bool = True) -> DataFrame:
+    def filled(self, checked: DataFrame) -> DataFrame:
         cfg = self.config
-        return impute(self.checked(df, write), self.medians, self.modes, cfg.imputation_strategy,
-                      cfg.order_by, cfg.partition_by)
+        return impute(checked, self.medians, self.modes, cfg.imputation_strategy, cfg.order_by, cfg.partition_by)
+
+    def transform(self, df: DataFrame, write: bool = True) -> DataFrame:
+        return self.filled(self.checked(df, write))
 
     def to_dict(self) -> dict:
         return asdict(self)

@@ -65,15 +65,16 @@ def prepare(raw: DataFrame, config: PrepareConfig) -> Prepared:
     if cfg.split_first:
         marked = materialise(mark_holdout(df, [ROW_KEY], cfg.test_size, cfg.target_col, cfg.seed, "__test"), "split")
         raw_train, raw_test = (marked.filter(F.col("__test") == side).drop("__test") for side in (False, True))
-        cleaned = cleaner.fit(raw_train)
-        train = materialise(_engineer(cleaned.transform(raw_train), cfg.sums), "train")
-        test = materialise(_engineer(cleaned.transform(raw_test), cfg.sums), "test")
+        cleaned, train = cleaner.fit_clean(raw_train)
+        train, test = (_engineer(part, cfg.sums) for part in (train, cleaned.transform(raw_test)))
     else:
-        cleaned = cleaner.fit(df)
-        whole = _engineer(cleaned.transform(df), cfg.sums)
-        # Written once: the fits below read it several times, a few columns each.
-        marked = materialise(mark_holdout(whole, [ROW_KEY], cfg.test_size, cfg.target_col, cfg.seed, "__test"),
-                             "split")
+        cleaned, whole = cleaner.fit_clean(df)
+        whole = _engineer(whole, cfg.sums)
+        if cfg.cleaner.imputation_strategy != "auto":
+            whole = materialise(whole, "filled")
+        # From the written cleaned table on, everything is a projection: the fits below read it a few
+        # columns at a time, and computing a digest again costs less than writing the table again.
+        marked = mark_holdout(whole, [ROW_KEY], cfg.test_size, cfg.target_col, cfg.seed, "__test")
         train, test = (marked.filter(F.col("__test") == side).drop("__test") for side in (False, True))
 
     ignore = [*cfg.transformer.ignore_cols, ROW_KEY]

@@ -19,6 +19,7 @@ from tablewright.operators.transforms import (
     scale_columns,
     treat_outliers,
 )
+from tablewright.session import run_together
 
 
 @dataclass(frozen=True)
@@ -46,9 +47,11 @@ class Transformer:
         require(df, cfg.nominal_cols, "nominal columns")
         numeric = numeric_columns(df, [*cfg.binning_cols, *cfg.nominal_cols, *cfg.ignore_cols])
         choice = {c: outlier_strategy(c, cfg.outlier_strategies, cfg.default_outlier_strategy) for c in numeric}
-        edges = fit_bin_edges(df, [c for c in cfg.binning_cols if c in df.columns], cfg.n_bins)
-        caps = fit_caps(df, [c for c in numeric if choice[c] == "capping"], cfg.capping_quantiles)
-        categories = fit_categories(df, cfg.nominal_cols)
+        edges, caps, categories = run_together(
+            df.sparkSession,
+            lambda: fit_bin_edges(df, [c for c in cfg.binning_cols if c in df.columns], cfg.n_bins),
+            lambda: fit_caps(df, [c for c in numeric if choice[c] == "capping"], cfg.capping_quantiles),
+            lambda: fit_categories(df, cfg.nominal_cols))
         model = TransformerModel(cfg, numeric, edges, caps, categories, {})
         scalers = fit_scalers(model.unscaled(df), numeric, cfg.scaling_strategy,
                               [*cfg.ordinal_mappings, *cfg.binning_cols], cfg.skew_with_missing)

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 _local_scratch: str | None = None
@@ -56,3 +59,11 @@ def release(df: DataFrame) -> None:
         table = file.split("/tablewright/", 1)[1].split("/", 1)[0]
         path = jvm.org.apache.hadoop.fs.Path(root + table)
         path.getFileSystem(hadoop_conf).delete(path, True)
+
+
+def run_together(spark: SparkSession, *jobs: Callable) -> list:
+    """Start independent jobs side by side and return their results in order."""
+    start = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        futures = [pool.submit(start(job)) for job in jobs]
+        return [f.result() for f in futures]
