@@ -34,7 +34,7 @@ def first_integer(c: Column) -> Column:
     A run of more than 38 digits is clamped, so that a long number stays a large number.
     """
     digits = F.regexp_replace(F.regexp_extract(c.cast("string"), r"\d+", 0), "^0+(?=.)", "")
-    fits = F.when(F.length(digits) <= 38, digits).otherwise(F.lit("9" * 38))
+    fits = F.when(F.length(digits) > 38, F.lit("9" * 38)).otherwise(digits)
     return F.nullif(fits, F.lit("")).try_cast("decimal(38,0)")
 
 
