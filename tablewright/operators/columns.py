@@ -47,12 +47,8 @@ def split_target(df: DataFrame, target_col: str, drop: Sequence[str] = ("ID",))
 
 
 def replace_columns(df: DataFrame, changes: dict) -> DataFrame:
-    """One projection that replaces the given columns in place and keeps the order."""
-    if not changes:
-        return df
-    kept = [changes[c].alias(c) if c in changes else q(c) for c in df.columns]
-    added = [e.alias(c) for c, e in changes.items() if c not in df.columns]
-    return df.select(*kept, *added)
+    """One projection that replaces the given columns in place, keeps the order and appends new ones."""
+    return df.withColumns(changes) if changes else df
 
 
 def absolute(df: DataFrame, names: Sequence[str] | None = None) -> DataFrame:

@@ -19,57 +19,99 @@ import math
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tablewright.session import materialise
 
 MAX_PIVOTS = 256
-ROWS_PER_PIVOT = 2000
+ROWS_PER_PIVOT = 8192
 DIGITS = 9
-_SLICE_CELLS = 4_000_000
+_SLICE_CELLS = 400_000
 
 
-def _matrix(values) -> np.ndarray:
-    return np.array(values.tolist(), dtype=np.float64) if len(values) else np.empty((0, 0))
+def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """Arrow list column to a matrix, one row per list."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    flat = column.flatten().to_numpy(zero_copy_only=False)
+    return flat.reshape(len(column), -1) if len(column) else np.empty((0, 0))
 
 
 def _distances(a: np.ndarray, b: np.ndarray, p: int) -> np.ndarray:
-    """Distances of all rows of a to all rows of b, a slice of a at a time."""
-    out = np.empty((len(a), len(b)))
-    step = max(1, _SLICE_CELLS // max(1, b.size))
-    for i in range(0, len(a), step):
-        gap = a[i:i + step, None, :] - b[None, :, :]
-        out[i:i + step] = np.abs(gap).sum(axis=2) if p == 1 else np.sqrt((gap * gap).sum(axis=2))
-    return out
+    """Distances of all rows of a to all rows of b, one dimension at a time."""
+    out = np.zeros((len(a), len(b)))
+    for x, y in zip(a.T, b.T):
+        gap = x[:, None] - y[None, :]
+        out += np.abs(gap) if p == 1 else gap * gap
+    return out if p == 1 else np.sqrt(out)
 
 
-def _block_search(k: int, p: int):
+def _kth_bound(d: np.ndarray, k: int) -> np.ndarray:
+    """An upper bound of the k-th smallest value of each row: the k-th smallest of the minima of groups."""
+    groups = min(d.shape[1], max(64, 4 * k))
+    width = d.shape[1] // groups
+    minima = d[:, :groups * width].reshape(len(d), groups, width).min(axis=2)
+    return np.partition(minima, k - 1, axis=1)[:, k - 1:k]
+
+
+def _near(a: np.ndarray, b: np.ndarray, size_b: np.ndarray, k: int, p: int) -> tuple[np.ndarray, np.ndarray]:
+    """(rows of a, rows of b): pairs that may be among the k nearest of a row of a, somewhat more than k each.
+
+    Euclidean candidates come from the inner products. These err by rounding only, so pairs within a margin
+    of the bound are kept, and the distances that count are computed from the differences afterwards.
+    """
+    if len(b) <= k:
+        return np.repeat(np.arange(len(a)), len(b)), np.tile(np.arange(len(b)), len(a))
+    if p == 1:
+        d, margin = _distances(a, b, 1), 10.0 ** -DIGITS
+    else:
+        size_a = (a * a).sum(axis=1)[:, None]
+        d = a @ b.T
+        d *= -2.0
+        d += size_b
+        d += size_a
+        scale = size_a + size_b.max()
+        # Two distances that round alike differ by 10**-DIGITS, their squares by up to that times 2 d.
+        margin = 1e-12 * scale + 4 * 10.0 ** -DIGITS * np.sqrt(scale) + 10.0 ** (-2 * DIGITS)
+    return np.divmod(np.flatnonzero(d <= _kth_bound(d, k) + margin), d.shape[1])
+
+
+def _nearest(a: np.ndarray, b: np.ndarray, k: int, p: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row of a, row of b, distance) of the k nearest of each row of a, ties to the lower row of b."""
+    size_b = (b * b).sum(axis=1)
+    step = max(1, _SLICE_CELLS // len(b))
+    found = []
+    for start in range(0, len(a), step):
+        part = a[start:start + step]
+        rows, hits = _near(part, b, size_b, k, p)
+        gap = part[rows] - b[hits]
+        d = np.abs(gap).sum(axis=1) if p == 1 else np.sqrt((gap * gap).sum(axis=1))
+        d = np.round(d, DIGITS)
+        order = np.lexsort((hits, d, rows))
+        rows, hits, d = rows[order], hits[order], d[order]
+        place = np.arange(len(rows)) - np.searchsorted(rows, rows)
+        found.append((rows[place < k] + start, hits[place < k], d[place < k]))
+    return tuple(np.concatenate(column) for column in zip(*found))
+
+
+def _block_search(k: int, p: int, schema: pa.Schema):
     """Cogrouped function: the k nearest rows of a training block for each test row of a block."""
 
-    def search(tests: pd.DataFrame, trains: pd.DataFrame) -> pd.DataFrame:
-        columns = ["test_key", "train_key", "label", "distance"]
+    def search(tests: pa.Table, trains: pa.Table) -> pa.Table:
         if not len(tests) or not len(trains):
-            return pd.DataFrame({c: [] for c in columns})
-        keys, labels = trains["train_key"].to_numpy(), trains["label"].to_numpy()
-        order = np.argsort(keys, kind="stable")
-        keys, labels = keys[order], labels[order]
-        d = np.round(_distances(_matrix(tests["x"]), _matrix(trains["x"])[order], p), DIGITS)
-        # Training rows are in key order, so a stable sort by distance breaks ties by key.
-        if k < len(keys):
-            limit = np.partition(d, k - 1, axis=1)[:, k - 1]
-            picks = [np.flatnonzero(row <= top) for row, top in zip(d, limit)]
-        else:
-            picks = [np.arange(len(keys))] * len(d)
-        best = [pick[np.argsort(row[pick], kind="stable")[:k]] for row, pick in zip(d, picks)]
-        rows = np.repeat(np.arange(len(d)), [len(b) for b in best])
-        hits = np.concatenate(best)
-        return pd.DataFrame({"test_key": tests["test_key"].to_numpy()[rows], "train_key": keys[hits],
-                             "label": labels[hits], "distance": d[rows, hits]})
+            return schema.empty_table()
+        # In key order the lower row is the smaller key.
+        trains = trains.sort_by("train_key")
+        rows, hits, distances = _nearest(_matrix(tests["x"]), _matrix(trains["x"]), k, p)
+        columns = [tests["test_key"].take(pa.array(rows)), trains["train_key"].take(pa.array(hits)),
+                   trains["label"].take(pa.array(hits)), pa.array(distances)]
+        return pa.table([c.cast(f.type) for c, f in zip(columns, schema)], schema=schema)
 
     return search
 
@@ -89,7 +131,7 @@ class KNNClassifier:
     """
 
     def __init__(self, k: int = 5, weights: str = "uniform", p: int = 2, key_col: str | None = None,
-                 featuresCol: str = "features", labelCol: str = "label", block_rows: int = 2048):
+                 featuresCol: str = "features", labelCol: str = "label", block_rows: int = 8192):
         if weights not in ("uniform", "distance"):
             raise ValueError(f"unknown weights {weights!r}")
         if p not in (1, 2):
@@ -182,9 +224,9 @@ class KNNModel:
                                T.StructField("train_key", trains.schema["train_key"].dataType),
                                T.StructField("label", T.DoubleType()), T.StructField("distance", T.DoubleType())])
         keys = ["cell", "train_block", "test_block"]
-        return (left.groupBy(*keys).cogroup(right.groupBy(*keys))
-                .applyInPandas(_block_search(k, self.settings["p"]), schema).select("test_key", "train_key", "label", "distance")
-                .transform(lambda d: _top_k(d, k).drop("rank")))
+        search = _block_search(k, self.settings["p"], to_arrow_schema(schema))
+        found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(search, schema)
+        return _top_k(found, k).drop("rank")
 
     # --- votes ------------------------------------------------------------------------------------------
 
@@ -216,11 +258,12 @@ def _top_k(found: DataFrame, k: int) -> DataFrame:
 
 
 def _nearest_pivot(pivots: np.ndarray, p: int):
-    @F.pandas_udf("struct<cell: int, distance: double>")
-    def assign(x: pd.Series) -> pd.DataFrame:
+    @F.arrow_udf("struct<cell: int, distance: double>")
+    def assign(x: pa.Array) -> pa.Array:
         d = _distances(_matrix(x), pivots, p) if len(x) else np.empty((0, len(pivots)))
         cell = d.argmin(axis=1) if len(x) else np.empty(0, dtype=int)
-        return pd.DataFrame({"cell": cell.astype("int32"), "distance": d[np.arange(len(d)), cell]})
+        return pa.StructArray.from_arrays([pa.array(cell.astype("int32")), pa.array(d[np.arange(len(d)), cell])],
+                                          ["cell", "distance"])
 
     return assign
 
@@ -229,14 +272,16 @@ def _cells_within(pivots: np.ndarray, near: np.ndarray, far: np.ndarray, p: int)
     """Cells that may hold a training row within the bound: neither the shell of distances around the
     pivot nor the half-space of the pivot excludes it. The slack covers rounded distances."""
 
-    @F.pandas_udf("array<int>")
-    def within(x: pd.Series, bound: pd.Series) -> pd.Series:
+    @F.arrow_udf("array<int>")
+    def within(x: pa.Array, bound: pa.Array) -> pa.Array:
         if not len(x):
-            return pd.Series([], dtype=object)
+            return pa.array([], pa.list_(pa.int32()))
         d = _distances(_matrix(x), pivots, p)
         lower = np.maximum.reduce([d - far, near - d, (d - d.min(axis=1, keepdims=True)) / 2])
-        limit = bound.to_numpy()[:, None] * (1 + 1e-9) + 10.0 ** (1 - DIGITS)
-        return pd.Series([np.flatnonzero(row).tolist() for row in lower <= limit])
+        limit = bound.to_numpy(zero_copy_only=False)[:, None] * (1 + 1e-9) + 10.0 ** (1 - DIGITS)
+        inside = lower <= limit
+        ends = np.concatenate([[0], inside.sum(axis=1).cumsum()]).astype("int32")
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.nonzero(inside)[1].astype("int32")))
 
     return within
 

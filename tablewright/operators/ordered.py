@@ -25,7 +25,7 @@ def ordered_parts(df: DataFrame, order: Sequence, parts: int | None = None) -> D
     spark = df.sparkSession
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     if parts > MAX_PARTS:
-        raise ValueError(f"{parts} parts: the summary of one row per part would be too large to broadcast")
+        raise ValueError(f"{parts} parts: the one row per part would be too many to summarise in one task")
     ranged = df.repartitionByRange(parts, *order).withColumn(PART, F.spark_partition_id())
     return materialise(ranged, "ordered")
 
@@ -60,7 +60,9 @@ def fill_along(df: DataFrame, order_by: Sequence[str], partition_by: Sequence[st
     carried = edge.select(PART, *[F.last(f"e{i}", ignorenulls=True).over(before).alias(f"c{i}")
                                   for i in range(len(columns))])
 
-    joined = tagged.join(F.broadcast(carried), PART, "left")
+    # Carried texts may be long, so they are not broadcast. Both sides hash by part, which is also what the
+    # window below asks for: the rows move once.
+    joined = tagged.join(carried.hint("shuffle_hash"), PART, "left")
     local = Window.partitionBy(PART, *keys).orderBy(*[q(c) if forward else q(c).desc_nulls_last() for c in order])
     local = local.rowsBetween(Window.unboundedPreceding, 0)
     filled = {}
@@ -81,5 +83,6 @@ def running_totals(df: DataFrame, order_by: str, columns: Sequence[str], descend
                                   for i in range(len(columns))])
     local = Window.partitionBy(PART).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     totals = {prefix + c: F.sum(q(c)).over(local) + F.col(f"b{i}") for i, c in enumerate(columns)}
+    # A few numbers per part, at most MAX_PARTS rows.
     joined = tagged.join(F.broadcast(offsets), PART)
     return replace_columns(joined, totals).select(*[q(c) for c in df.columns], *[q(c) for c in totals])

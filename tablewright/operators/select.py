@@ -82,7 +82,7 @@ def _sequential(data: DataFrame, n_all: int, n_keep: int, base_model, forward: b
 
 def select_features(df: DataFrame, features: Sequence[str], label: str, method: str = "rfe", n_features: int = 15,
                     base_model=None, key: Sequence[str] = (), n_folds: int = 3, seed: int = 42,
-                    parallelism: int = 4) -> list[str]:
+                    parallelism: int = 8) -> list[str]:
     """Names of the chosen features, in table order.
 
     ``base_model`` is any Spark classifier with importances or coefficients (rfe), or any classifier

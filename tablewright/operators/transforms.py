@@ -85,37 +85,61 @@ def scale_columns(df: DataFrame, scalers: Mapping[str, Mapping]) -> DataFrame:
     return replace_columns(df, {c: scale_expr(q(c), s) for c, s in scalers.items() if c in df.columns})
 
 
-def fit_yeo_johnson(df: DataFrame, exprs: Mapping[str, Column], points: int = 21, rounds: int = 4) -> dict[str, float]:
+def _power_variances(df: DataFrame, exprs: Mapping[int, Column], grids: Mapping[int, Sequence[float]]) -> dict:
+    """{(column number, grid position): variance of the transformed column}.
+
+    The lambdas are data, not code: each value is paired with its column's grid and aggregated per pair, so
+    one compiled plan serves every round. The pairs are combined map-side to a few rows per task.
+    """
+    cells = F.array(*[F.struct(F.lit(i).alias("i"), e.cast("double").alias("x"), F.array(*[F.lit(g) for g in grids[i]])
+                               .alias("grid")) for i, e in exprs.items()])
+    values = df.select(F.inline(cells)).filter("x IS NOT NULL").select("i", "x", F.posexplode("grid").alias("k", "lam"))
+    x, lam = F.col("x"), F.col("lam")
+    upper = F.when(F.abs(lam) < 1e-12, F.log1p(x)).otherwise((F.pow(x + 1.0, lam) - 1.0) / lam)
+    rest = 2.0 - lam
+    lower = F.when(F.abs(rest) < 1e-12, -F.log1p(-x)).otherwise(-(F.pow(1.0 - x, rest) - 1.0) / rest)
+    power = F.when(x >= 0, upper).otherwise(lower)
+    return {(r["i"], r["k"]): r["v"] for r in values.groupBy("i", "k").agg(F.var_pop(power).alias("v")).collect()}
+
+
+def _vertex(fit: Sequence[float], best: int) -> float:
+    """Top of the parabola through the best point and its neighbours, in grid steps from the best."""
+    left, top, right = fit[best - 1:best + 2]
+    bend = left - 2 * top + right
+    return 0.5 * (left - right) / bend if math.isfinite(bend) and bend < 0 else 0.0
+
+
+def fit_yeo_johnson(df: DataFrame, exprs: Mapping[str, Column], points: int = 9, rounds: int = 3) -> dict[str, float]:
     """Maximum-likelihood lambda per column.
 
-    One aggregate per round evaluates a grid of lambdas for all columns; the next grid is ten times
-    finer around the best point, or moves on if that lies at the edge.
+    One aggregate per round evaluates a grid of lambdas for all columns. The likelihood is smooth, so the
+    next grid, ten times finer, is centred on the top of the parabola through the best three points; a
+    best point at the edge moves the grid instead.
     """
-    centre, step = {c: 0.0 for c in exprs}, {c: 0.2 for c in exprs}
-    signed = {c: F.sum(F.signum(e) * F.log1p(F.abs(e))) for c, e in exprs.items()}
-    names = list(exprs)
-    scale = df.agg(*[signed[c].alias(f"s{i}") for i, c in enumerate(names)],
-                   *[F.count(exprs[c]).alias(f"n{i}") for i, c in enumerate(names)]).first()
-    half, finished, moves = points // 2, {c: 0 for c in names}, 0
-    while any(r < rounds for r in finished.values()) and moves < 60:
+    names, half = list(exprs), points // 2
+    centre, step = {c: 0.0 for c in exprs}, {c: 0.5 for c in exprs}
+    sums = df.agg(*[F.sum(F.signum(e) * F.log1p(F.abs(e))).alias(f"s{i}") for i, e in enumerate(exprs.values())],
+                  *[F.count(e).alias(f"n{i}") for i, e in enumerate(exprs.values())]).first()
+    left, moves = {c: rounds for c in names}, 0
+    while any(left.values()) and moves < 60:
         moves += 1
-        active = [i for i, c in enumerate(names) if finished[c] < rounds]
+        active = [i for i, c in enumerate(names) if left[c]]
         grids = {i: [centre[names[i]] + k * step[names[i]] for k in range(-half, half + 1)] for i in active}
-        row = df.agg(*[F.var_pop(yeo_johnson(exprs[names[i]], lam)).alias(f"v{i}_{k}")
-                       for i in active for k, lam in enumerate(grids[i])]).first()
+        variances = _power_variances(df, {i: exprs[names[i]] for i in active}, grids)
         for i in active:
-            c, n, s = names[i], scale[f"n{i}"], scale[f"s{i}"]
-            values = [row[f"v{i}_{k}"] for k in range(points)]
+            c, n, s = names[i], sums[f"n{i}"], sums[f"s{i}"]
+            values = [variances.get((i, k)) for k in range(points)]
             fit = [-n / 2 * math.log(v) + (lam - 1) * s if v is not None and 0 < v < math.inf else -math.inf
                    for lam, v in zip(grids[i], values)]
             best = max(range(points), key=fit.__getitem__)
             if fit[best] == -math.inf:
-                centre[c], finished[c] = 1.0, rounds
+                centre[c], left[c] = 1.0, 0
                 continue
             centre[c] = grids[i][best]
             if 0 < best < points - 1:
+                centre[c] += step[c] * _vertex(fit, best)
                 step[c] /= 10
-                finished[c] += 1
+                left[c] -= 1
     return centre
 
 

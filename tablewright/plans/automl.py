@@ -40,7 +40,7 @@ class AutoMLConfig:
     key: str = ROW_KEY
     base_model: object = None
     save_dir: str | None = None
-    parallelism: int = 4
+    parallelism: int = 8
 
 
 @dataclass

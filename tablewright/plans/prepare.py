@@ -11,7 +11,7 @@ from tablewright.operators.columns import row_sum
 from tablewright.operators.split import mark_holdout
 from tablewright.plans.cleaner import Cleaner, CleanerConfig, CleanerModel
 from tablewright.plans.transformer import Transformer, TransformerConfig, TransformerModel
-from tablewright.session import materialise
+from tablewright.session import materialise, release
 
 ROW_KEY = "__row_key"
 
@@ -42,6 +42,10 @@ class Prepared:
     cleaner: CleanerModel
     transformer: TransformerModel
 
+    def release(self) -> None:
+        """Delete the written intermediate tables that ``train`` and ``test`` still read."""
+        release(self.train)
+
 
 def _engineer(df: DataFrame, sums: dict) -> DataFrame:
     for out, names in sums.items():

@@ -6,7 +6,7 @@ import os
 import warnings
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,6 +26,32 @@ def nan_as_null(df: DataFrame) -> DataFrame:
                        else F.col(f"`{c}`") for c in df.columns])
 
 
+# Kinds of a text cell as bits; a column's cells are combined with a bitwise or.
+_INTEGER, _NUMBER, _BOOLEAN, _TEXT = 1, 2, 4, 8
+
+
+_SHORT_INTEGER, _LONG_INTEGER = r"^\s*[+-]?\d{1,18}\s*$", r"^\s*[+-]?\d{19}\s*$"
+_NUMBER_TEXT = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity))\s*$"
+
+
+def _cell_kind(c: Column) -> Column:
+    """Kind of one cell, cheapest test first; NULL for a missing cell.
+
+    Numbers are told by a pattern: a cast that fails costs far more, and it takes "1d" for a number.
+    """
+    return (F.when(c.isNull(), None).when(c.rlike(_SHORT_INTEGER), _INTEGER)
+            .when(c.rlike(_LONG_INTEGER) & c.try_cast("bigint").isNotNull(), _INTEGER)
+            .when(c.rlike(_NUMBER_TEXT), _NUMBER).when(F.lower(c).isin("true", "false"), _BOOLEAN).otherwise(_TEXT))
+
+
+def _column_type(kinds: int | None) -> str:
+    if kinds == _INTEGER:
+        return "bigint"
+    if kinds is None or kinds in (_NUMBER, _INTEGER | _NUMBER):
+        return "double"
+    return "boolean" if kinds == _BOOLEAN else "string"
+
+
 def _infer(raw: DataFrame) -> DataFrame:
     """Cast text columns to bigint, double or boolean where every present value allows it.
 
@@ -33,34 +59,12 @@ def _infer(raw: DataFrame) -> DataFrame:
     """
     if not raw.columns:
         return raw
-    checks = []
-    for i, name in enumerate(raw.columns):
-        c = F.col(f"`{name}`")
-        present = c.isNotNull()
-        # A number may not have blanks inside; the cast itself ignores blanks around it.
-        checks += [
-            F.count(c).alias(f"n{i}"),
-            F.count_if(present & c.try_cast("bigint").isNull()).alias(f"i{i}"),
-            F.count_if(present & c.rlike("[.eE]")).alias(f"f{i}"),
-            F.count_if(present & (c.try_cast("double").isNull() | c.rlike("(?i)[df]\\s*$"))).alias(f"d{i}"),
-            F.count_if(present & ~c.isin("True", "False", "TRUE", "FALSE", "true", "false")).alias(f"b{i}"),
-        ]
-    found = raw.agg(*checks).first()
-    out = []
-    for i, name in enumerate(raw.columns):
-        c = F.col(f"`{name}`")
-        if found[f"n{i}"] == 0:
-            kind = "double"
-        elif found[f"i{i}"] == 0 and found[f"f{i}"] == 0:
-            kind = "bigint"
-        elif found[f"d{i}"] == 0:
-            kind = "double"
-        elif found[f"b{i}"] == 0:
-            kind = "boolean"
-        else:
-            kind = "string"
-        out.append((c if kind == "string" else c.try_cast(kind)).alias(name))
-    return raw.select(*out)
+    # One (column, cell) row per cell: the test is compiled once and stays small, whatever the width.
+    cells = raw.select(F.inline(F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"`{c}`").alias("cell"))
+                                          for i, c in enumerate(raw.columns)])))
+    kinds = dict(cells.groupBy("i").agg(F.bit_or(_cell_kind(F.col("cell")))).collect())
+    types = {c: _column_type(kinds[i]) if i in kinds else "double" for i, c in enumerate(raw.columns)}
+    return raw.withColumns({c: F.col(f"`{c}`").try_cast(t) for c, t in types.items() if t != "string"})
 
 
 def read_csv(spark: SparkSession, path: str, sep: str = ",", header: bool = True, schema=None,
