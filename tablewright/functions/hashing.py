@@ -15,7 +15,7 @@ def shuffle_digest(key_cols: Sequence[str], seed: int) -> Column:
 
     A NULL in a composite key is marked, so that (NULL, 'a') and ('a', NULL) differ.
     """
-    parts = [F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in key_cols]
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in key_cols]
     return F.md5(F.concat_ws("|", *parts, F.lit(str(seed))))
 
 
