@@ -89,10 +89,11 @@ def build_model(name: str, n_rows: int, features_col: str = "features", label_co
                               key_col=key_col, **columns)
     elif name == "logistic_regression":
         model = LogisticRegression(regParam=_regularisation(p, n_rows), elasticNetParam=0.0, standardization=False,
-                                   maxIter=p.pop("max_iter", 100), tol=1e-4, family="binomial", **columns)
+                                   maxIter=p.pop("max_iter", 100), tol=p.pop("tol", 1e-4),
+                                   family="binomial", **columns)
     elif name == "svm":
         model = LinearSVC(regParam=_regularisation(p, n_rows), standardization=False,
-                          maxIter=p.pop("max_iter", 1000), tol=1e-3, **columns)
+                          maxIter=p.pop("max_iter", 1000), tol=p.pop("tol", 1e-3), **columns)
     elif name == "decision_tree":
         model = DecisionTreeClassifier(
             impurity=p.pop("criterion", "gini"), maxDepth=_depth(p, None, TREE_DEPTH_LIMIT),
