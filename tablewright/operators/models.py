@@ -14,7 +14,6 @@ from pyspark.ml.classification import (
     LogisticRegression,
     RandomForestClassifier,
 )
-from pyspark.ml.linalg import VectorUDT  # noqa: F401  (registers the type)
 from pyspark.sql import DataFrame
 
 from tablewright.operators.knn import KNNClassifier, KNNModel

@@ -506,6 +506,22 @@ def ordinal_encode(spark, sf):
                                      {"o_orderpriority": PRIORITIES})
 
 
+@query("select_columns", "SELECT l_quantity, l_tax FROM lineitem")
+def select_columns(spark, sf):
+    """The projection on chosen features: only these two columns are read."""
+    return table(spark, sf, "lineitem").select("l_quantity", "l_tax")
+
+
+@query("pooled_folds", f"""{with_views("scored")}
+SELECT fold, count(*) AS n, CAST(sum(label) AS BIGINT) AS positives FROM scored GROUP BY fold""")
+def pooled_folds(spark, sf):
+    """Folds scored apart and pooled again."""
+    scored = view(spark, sf, "scored")
+    parts = [scored.filter(F.col("fold") == i) for i in range(3)]
+    pooled = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return pooled.groupBy("fold").agg(F.count(F.lit(1)).alias("n"), F.sum("label").cast("bigint").alias("positives"))
+
+
 @query("one_hot", """
 SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS o_orderstatus_F,
   CASE WHEN o_orderstatus = 'O' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS o_orderstatus_O,
@@ -546,9 +562,9 @@ def scale_robust(spark, sf):
     return _scaled(spark, sf, "robust")
 
 
-@query("scale_constant", "SELECT DISTINCT 0.0::DOUBLE AS seven, n_nationkey FROM nation")
+@query("scale_constant", "SELECT 0.0::DOUBLE AS seven, o_orderkey FROM orders")
 def scale_constant(spark, sf):
-    df = table(spark, sf, "nation").select(F.lit(7.0).alias("seven"), "n_nationkey")
+    df = table(spark, sf, "orders").select(F.lit(7.0).alias("seven"), "o_orderkey")
     return transforms.scale_columns(df, transforms.fit_scalers(df, ["seven"], "standard"))
 
 

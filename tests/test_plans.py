@@ -128,6 +128,23 @@ def test_row_wise_models_apply_to_a_stream(spark, sf_dir, tmp_path):
     assert rows(spark.table("rows_out")) == rows(batch)
 
 
+def test_stages_compose_in_an_ml_pipeline(spark, sf_dir):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import VectorAssembler
+
+    from tablewright.plans.risk import FAMILY
+    from tablewright.plans.stages import RowSum, Stage
+
+    raw = view(spark, sf_dir, "risk")
+    inputs = ["AGE", "VEHICLE_YEAR", "FAMILY_STABILITY", "TYPE_OF_VEHICLE_suv"]
+    chain = Pipeline(stages=[
+        Stage(Cleaner(risk_cleaner())), RowSum(FAMILY, "FAMILY_STABILITY"), Stage(Transformer(risk_transformer())),
+        VectorAssembler(inputCols=inputs, outputCol="features"),
+        models.build_model("decision_tree", 1, label_col="OUTCOME", max_depth=3)])
+    fitted = chain.fit(raw)
+    assert fitted.stages[2].fitted.scalers and fitted.transform(raw).filter("prediction IS NULL").count() == 0
+
+
 SMALL = {"logistic_regression": [{"C": 1}], "decision_tree": [{"max_depth": 4}, {"bogus": 1}], "knn": [{"n_neighbors": 3}]}
 
 
