@@ -34,8 +34,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession, rows: int = 500) -> None:
-    """Arrow batches of at most ``rows`` documents, so that long texts do not gather in one batch."""
+def batch_rows(spark: SparkSession, rows: int) -> None:
+    """Arrow batches of at most ``rows`` rows in the jobs that follow: few for long texts, many for numbers."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 

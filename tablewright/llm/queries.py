@@ -5,8 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import mixing, rules
-from tablewright.llm.common import table
+from tablewright.llm import bytecnn, line_dedup, mixing, rules, simhash
+from tablewright.llm.common import fold_key, table
+
+
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    deduped = line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents"), keep={"doc_id": F.col("doc_id")})
+    return deduped.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,14 +19,47 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op8_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.pmod(fold_key(F.col("doc_id")), F.lit(3)) == 1
+    scored = bytecnn.classify_quality(docs, table(spark, sf_dir, "labels"), train_on=F.pmod(fold_key(F.col("id")), F.lit(3)) != 1)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+                        F.col("component").alias("component_id"))
+
+
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix_sources(table(spark, sf_dir, "documents"), keep=["doc_id"])
     return mixed.select("row.doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
 QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
     "op4_quality_rules": op4_quality_rules,
+    "op8_byte_cnn": op8_byte_cnn,
+    "op9_simhash": op9_simhash,
     "op10_mix_sources": op10_mix_sources,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_line_dedup": """
+WITH lines AS (
+  SELECT doc_id, generate_subscripts(parts, 1) AS place, unnest(parts) AS line
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents)),
+keyed AS (
+  SELECT doc_id, place, line,
+    translate(trim(line, concat(chr(32), chr(9), chr(10), chr(11), chr(12), chr(13))),
+              'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS line_key
+  FROM lines),
+frequent AS (
+  SELECT line_key FROM keyed WHERE line_key <> '' GROUP BY line_key HAVING count(DISTINCT doc_id) >= 10),
+marked AS (
+  SELECT k.doc_id, k.place, k.line, f.line_key IS NOT NULL AS dropped FROM keyed k LEFT JOIN frequent f USING (line_key))
+SELECT doc_id, count(*) AS n_lines, CAST(sum(CASE WHEN dropped THEN 1 ELSE 0 END) AS BIGINT) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT dropped), '')) AS kept_sha256
+FROM marked GROUP BY doc_id""",
+}
