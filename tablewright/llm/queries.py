@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import bytecnn, line_dedup, mixing, rules, simhash
+from tablewright.llm import bytecnn, line_dedup, mixing, packing, records, rules, simhash, warczip
 from tablewright.llm.common import fold_key, table
+from tablewright.session import scratch_path
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,11 +16,28 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deduped.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op3_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-records")
+    records.write_records(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return records.digests(spark, path).withColumnRenamed("id", "doc_id")
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op5_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc-packages")
+    manifest = warczip.write_packages(table(spark, sf_dir, "pages"), path)
+    return warczip.read_packages(spark, path, manifest, payloads=False).drop("url")
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
+    return packed.drop("ids").withColumnRenamed("id", "doc_id")
+
+
 def op8_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = F.pmod(fold_key(F.col("doc_id")), F.lit(3)) == 1
@@ -39,7 +58,10 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
+    "op3_token_records": op3_token_records,
     "op4_quality_rules": op4_quality_rules,
+    "op5_warc_zip": op5_warc_zip,
+    "op6_packing": op6_packing,
     "op8_byte_cnn": op8_byte_cnn,
     "op9_simhash": op9_simhash,
     "op10_mix_sources": op10_mix_sources,
@@ -62,4 +84,15 @@ marked AS (
 SELECT doc_id, count(*) AS n_lines, CAST(sum(CASE WHEN dropped THEN 1 ELSE 0 END) AS BIGINT) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT dropped), '')) AS kept_sha256
 FROM marked GROUP BY doc_id""",
+    "op5_warc_zip": """
+WITH payloads AS (
+  SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+digests AS (
+  SELECT page_id, CAST(octet_length(payload) AS BIGINT) AS payload_bytes, sha256(payload) AS payload_digest FROM payloads),
+firsts AS (
+  SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM digests)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 100 AND page_id > first_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND page_id > first_id THEN first_id END AS refers_to
+FROM firsts""",
 }
