@@ -6,14 +6,39 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import mixing
+from tablewright.llm import bytecnn, line_dedup, mixing, packing, simhash
 from tablewright.llm.common import table
 from tablewright.session import materialise
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, trained on the labelled ones, does not reject."""
+    scored = bytecnn.classify_quality(docs, table(spark, sf_dir, "labels"), keep={c: F.col(c) for c in COLUMNS})
+    return scored.where(F.col("score") >= 0.5).select(*COLUMNS)
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that ten or more of them share; a document may become empty, and stays."""
+    kept = line_dedup.drop_repeated_lines(docs, keep={c: F.col(c) for c in ("doc_id", "lang", "source")})
+    return kept.select("doc_id", F.col("kept_text").alias("text"), "lang", "source", F.length("kept_text").cast("long").alias("n_chars"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of the smallest id of each group; of rows with the same id, one."""
+    found = simhash.near_duplicates(docs)
+    chosen = found.where(F.col("id").eqNullSafe(F.col("component"))).groupBy("id").agg(F.count("*").alias("rows"))
+    chosen = materialise(chosen, "chosen")
+    kept = docs.join(chosen.select("id"), F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
+    if (chosen.agg(F.max("rows")).first()[0] or 1) > 1:
+        kept = kept.dropDuplicates(["doc_id"])
+    return kept.select(*COLUMNS)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,7 +47,12 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixed.select("row.*", F.explode(F.array_repeat(F.lit(1), F.col("copies"))).alias("copy")).select(*COLUMNS)
 
 
-STAGES = [("mixing", mix)]
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents with their token ids and their place in sequences of 2048 tokens."""
+    return packing.pack_documents(docs, TOKENIZER, end_id=0).withColumnRenamed("id", "doc_id")
+
+
+STAGES = [("quality", quality), ("lines", lines), ("near_duplicates", near_duplicates), ("mixing", mix), ("packing", pack)]
 
 #: The stages fit models and iterate, which SQL cannot express; tests compare them with brute force.
 ORACLE_SQL = None

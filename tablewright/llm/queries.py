@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import bytecnn, line_dedup, mixing, packing, records, rules, simhash, warczip
+from tablewright.llm import bytecnn, language, line_dedup, mixing, packing, records, rules, simhash, spots, warczip
 from tablewright.llm.common import fold_key, table
 from tablewright.session import scratch_path
 
@@ -16,6 +16,12 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deduped.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.pmod(fold_key(F.col("doc_id")), F.lit(4)) == 2
+    return language.identify(docs, docs.where(~held_out), keep={"doc_id": F.col("doc_id"), "held_out": held_out})
+
+
 def op3_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-records")
     records.write_records(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
@@ -38,6 +44,13 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.drop("ids").withColumnRenamed("id", "doc_id")
 
 
+def op7_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = spots.edited_fingerprints(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+                        spots.fingerprint(F.col("signatures")).alias("fingerprint"),
+                        spots.fingerprint(F.col("edited_signatures")).alias("edited_fingerprint"), "near_edited", "near_next")
+
+
 def op8_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = F.pmod(fold_key(F.col("doc_id")), F.lit(3)) == 1
@@ -58,10 +71,12 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_language": op2_language,
     "op3_token_records": op3_token_records,
     "op4_quality_rules": op4_quality_rules,
     "op5_warc_zip": op5_warc_zip,
     "op6_packing": op6_packing,
+    "op7_spotsigs": op7_spotsigs,
     "op8_byte_cnn": op8_byte_cnn,
     "op9_simhash": op9_simhash,
     "op10_mix_sources": op10_mix_sources,
