@@ -51,17 +51,18 @@ class ByteCNN:
         result = np.empty((len(texts), 2 * FILTERS), np.float32)
         for group in _groups(texts):
             sizes = [max(1, -(-len(texts[i]) // BLOCK)) for i in group]
-            data = np.zeros(sum(sizes) * BLOCK, np.uint8)
+            # An empty block after each text, so that no window reads into the next one.
+            data = np.zeros((sum(sizes) + len(sizes)) * BLOCK, np.uint8)
             at = 0
             for i, size in zip(group, sizes):
                 data[at:at + len(texts[i])] = np.frombuffer(texts[i], np.uint8)
-                at += size * BLOCK
+                at += (size + 1) * BLOCK
             # Pieces overlap by one block, so that windows across the cut are whole.
             blocks = np.concatenate([self.responses(data[p:p + STEP + BLOCK])[:STEP // BLOCK] for p in range(0, len(data), STEP)])
             at = 0
             for i, size in zip(group, sizes):
                 result[i] = _pool(blocks[at:at + size])
-                at += size
+                at += size + 1
         return result
 
     def scores(self, texts: list[bytes]) -> np.ndarray:

@@ -89,7 +89,7 @@ def newton_rates(sources: DataFrame, steps: int = 80) -> DataFrame:
                          lambda x, _: x - (F.lit(1.0) - wanted * F.exp(-x)))
     rate = F.when(F.col("source_size") > 0, F.exp(solved)).otherwise(F.lit(1.0))
     near = F.round(rate)
-    return sources.withColumn("rate", F.when(F.abs(rate - near) < 1e-9, near).otherwise(rate))
+    return sources.withColumn("rate", F.when((near > 0) & (F.abs(rate - near) < 1e-9), near).otherwise(rate))
 
 
 def _hash(id_col: Column, text: Column) -> Column:
