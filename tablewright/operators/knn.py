@@ -20,17 +20,27 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml import Estimator, Model
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import VectorUDT
+from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.util import (
+    DefaultParamsReadable,
+    DefaultParamsReader,
+    DefaultParamsWritable,
+    DefaultParamsWriter,
+    MLReadable,
+    MLReader,
+    MLWritable,
+    MLWriter,
+)
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tablewright.session import materialise
+from tablewright.session import materialise, release
 
-MAX_PIVOTS = 256
-ROWS_PER_PIVOT = 8192
 DIGITS = 9
 _SLICE_CELLS = 400_000
 
@@ -123,15 +133,28 @@ def _array_of(df: DataFrame, column: str) -> Column:
     return c.cast("array<double>")
 
 
-class KNNClassifier:
+class _Settings(Params):
+    state = Param(Params._dummy(), "state", "settings as JSON", TypeConverters.toString)
+
+    @property
+    def settings(self) -> dict:
+        return json.loads(self.getOrDefault("state"))
+
+
+class KNNClassifier(Estimator, _Settings, MLReadable, DefaultParamsWritable):
     """k nearest neighbours with uniform or distance weights, p = 1 (Manhattan) or 2 (Euclidean).
 
     ``featuresCol`` is an ML vector or a numeric array. ``key_col`` must be unique in the training table and
     in the test table; ties in distance go to the smaller training key.
+
+    ``rows_per_pivot`` sets how many training rows a cell holds on average, ``max_pivots`` how many pivots reach the driver and the
+    tasks, ``block_rows`` how many rows a block holds. None of them changes the result.
     """
 
     def __init__(self, k: int = 5, weights: str = "uniform", p: int = 2, key_col: str | None = None,
-                 featuresCol: str = "features", labelCol: str = "label", block_rows: int = 8192):
+                 featuresCol: str = "features", labelCol: str = "label", block_rows: int = 8192,
+                 rows_per_pivot: int = 8192, max_pivots: int = 4096):
+        super().__init__()
         if weights not in ("uniform", "distance"):
             raise ValueError(f"unknown weights {weights!r}")
         if p not in (1, 2):
@@ -140,10 +163,15 @@ class KNNClassifier:
             raise ValueError("k must be at least 1")
         if key_col is None:
             raise ValueError("knn needs key_col, a unique row key")
-        self.settings = {"k": k, "weights": weights, "p": p, "key_col": key_col, "featuresCol": featuresCol,
-                         "labelCol": labelCol, "block_rows": block_rows}
+        self._set(state=json.dumps({"k": k, "weights": weights, "p": p, "key_col": key_col, "featuresCol": featuresCol,
+                         "labelCol": labelCol, "block_rows": block_rows, "rows_per_pivot": rows_per_pivot,
+                         "max_pivots": max_pivots}))
 
-    def fit(self, train: DataFrame) -> KNNModel:
+    @classmethod
+    def read(cls) -> MLReader:
+        return _KNNReader(lambda settings, path: cls(**settings))
+
+    def _fit(self, train: DataFrame) -> KNNModel:
         s = self.settings
         table = train.select(F.col(s["key_col"]).alias("train_key"),
                              F.col(s["labelCol"]).cast("double").alias("label"),
@@ -151,9 +179,11 @@ class KNNClassifier:
         return KNNModel(materialise(table, "knn"), s)
 
 
-class KNNModel:
+class KNNModel(Model, _Settings, MLReadable, MLWritable):
     def __init__(self, table: DataFrame, settings: dict):
-        self.table, self.settings = table, dict(settings)
+        super().__init__()
+        self.table = table
+        self._set(state=json.dumps(settings))
 
     # --- neighbours -------------------------------------------------------------------------------------
 
@@ -164,8 +194,8 @@ class KNNModel:
         n = self.table.count()
         if n < k:
             raise ValueError(f"{k} neighbours wanted, but only {n} training rows")
-        # A few pivots, spread by hash: a bounded number of rows reaches the driver and the tasks.
-        n_pivots = max(1, min(MAX_PIVOTS, n // ROWS_PER_PIVOT))
+        # Pivots are spread by hash; a bounded number of rows reaches the driver and the tasks.
+        n_pivots = max(1, min(s["max_pivots"], n // s["rows_per_pivot"]))
         picked = self.table.orderBy(F.xxhash64("train_key"), "train_key").limit(n_pivots).collect()
         pivots = np.array([r["x"] for r in picked], dtype=np.float64)
 
@@ -230,7 +260,7 @@ class KNNModel:
 
     # --- votes ------------------------------------------------------------------------------------------
 
-    def transform(self, test: DataFrame) -> DataFrame:
+    def _transform(self, test: DataFrame) -> DataFrame:
         """Add ``probability`` (vector of two) and ``prediction``."""
         s = self.settings
         voted = vote(self.neighbours(test), s["k"], s["weights"])
@@ -239,15 +269,40 @@ class KNNModel:
                            "prediction")
         return test.join(out, F.col(s["key_col"]) == F.col("__knn_key")).drop("__knn_key")
 
-    def save(self, path: str) -> None:
-        self.table.write.mode("overwrite").parquet(f"{path}/table")
-        settings = self.table.sparkSession.createDataFrame([(json.dumps(self.settings),)], "value string")
-        settings.coalesce(1).write.mode("overwrite").text(f"{path}/settings")
+    def write(self) -> MLWriter:
+        return _KNNWriter(self)
 
     @classmethod
-    def load(cls, spark: SparkSession, path: str) -> KNNModel:
-        settings = json.loads(spark.read.text(f"{path}/settings").first()["value"])
-        return cls(spark.read.parquet(f"{path}/table"), settings)
+    def read(cls) -> MLReader:
+        return _KNNReader(lambda settings, path: cls(SparkSession.active().read.parquet(f"{path}/table"), settings))
+
+    def release(self) -> None:
+        """Delete the written training rows."""
+        release(self.table)
+
+
+class _KNNWriter(MLWriter):
+    """Settings as metadata, training rows as a Parquet table."""
+
+    def __init__(self, model: KNNModel):
+        super().__init__()
+        self.model = model
+
+    def saveImpl(self, path: str) -> None:
+        DefaultParamsWriter.saveMetadata(self.model, path, self.sparkSession)
+        self.model.table.write.parquet(f"{path}/table")
+
+
+class _KNNReader(MLReader):
+    def __init__(self, build):
+        super().__init__()
+        self.build = build
+
+    def load(self, path: str):
+        metadata = DefaultParamsReader.loadMetadata(path, self.sparkSession)
+        made = self.build(json.loads(metadata["paramMap"]["state"]), path)
+        made._resetUid(metadata["uid"])
+        return made
 
 
 def _top_k(found: DataFrame, k: int) -> DataFrame:

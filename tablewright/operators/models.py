@@ -10,24 +10,25 @@ from pyspark.ml import Model, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     GBTClassifier,
-    LinearSVC,
     LogisticRegression,
     RandomForestClassifier,
 )
 from pyspark.sql import DataFrame
 
-from tablewright.operators.knn import KNNClassifier, KNNModel
+from tablewright.operators.knn import KNNClassifier
+from tablewright.operators.svm import SquaredHingeSVC
 
 SUPPORTED_MODELS = ("logistic_regression", "svm", "decision_tree", "random_forest", "xgboost", "knn")
 
-# Spark trees are at most 30 deep; "unlimited" forests stay shallower, since a level doubles their memory.
+# Spark's trees are at most 30 deep.
 TREE_DEPTH_LIMIT = 30
-FOREST_DEPTH_LIMIT = 15
+# What ``max_depth=None`` means in a forest, whose memory doubles with each level; ``unlimited_depth`` sets another.
+FOREST_UNLIMITED_DEPTH = 15
 
 # The search grids, in the parameter names of the factory below.
 PARAM_GRIDS: dict[str, dict[str, list]] = {
     "logistic_regression": {"C": [0.001, 0.01, 0.1, 1, 10, 100]},
-    "svm": {"C": [0.1, 1, 10, 100]},
+    "svm": {"penalty": ["l1", "l2"], "C": [0.1, 1, 10, 100]},
     "decision_tree": {"criterion": ["gini", "entropy"], "max_depth": [None, 5, 10, 20],
                       "min_samples_leaf": [1, 2, 4]},
     "random_forest": {"n_estimators": [50, 100], "max_depth": [None, 10], "min_samples_leaf": [1, 2]},
@@ -66,9 +67,13 @@ def _regularisation(p: dict, n_rows: int) -> float:
     return 1.0 / (p.pop("C", 1.0) * max(n_rows, 1))
 
 
-def _depth(p: dict, default, limit: int) -> int:
+def _depth(p: dict, default, unlimited: int = TREE_DEPTH_LIMIT) -> int:
+    """``max_depth``, or what stands for no limit; a depth that Spark cannot grow is an error."""
     depth = p.pop("max_depth", default)
-    return limit if depth is None else min(int(depth), limit)
+    depth = unlimited if depth is None else int(depth)
+    if depth > TREE_DEPTH_LIMIT:
+        raise ValueError(f"max_depth {depth} is over the limit of {TREE_DEPTH_LIMIT}")
+    return depth
 
 
 def build_model(name: str, n_rows: int, features_col: str = "features", label_col: str = "label",
@@ -91,21 +96,22 @@ def build_model(name: str, n_rows: int, features_col: str = "features", label_co
                                    maxIter=p.pop("max_iter", 100), tol=p.pop("tol", 1e-4),
                                    family="binomial", **columns)
     elif name == "svm":
-        model = LinearSVC(regParam=_regularisation(p, n_rows), standardization=False,
-                          maxIter=p.pop("max_iter", 1000), tol=p.pop("tol", 1e-3), **columns)
+        model = SquaredHingeSVC(C=float(p.pop("C", 1.0)), penalty=p.pop("penalty", "l2"),
+                                maxIter=p.pop("max_iter", 1000), tol=p.pop("tol", 1e-4), **columns)
     elif name == "decision_tree":
         model = DecisionTreeClassifier(
-            impurity=p.pop("criterion", "gini"), maxDepth=_depth(p, None, TREE_DEPTH_LIMIT),
+            impurity=p.pop("criterion", "gini"), maxDepth=_depth(p, None),
             minInstancesPerNode=p.pop("min_samples_leaf", 1), maxBins=64, maxMemoryInMB=512, seed=seed, **columns)
     elif name == "random_forest":
         model = RandomForestClassifier(
-            numTrees=p.pop("n_estimators", 100), maxDepth=_depth(p, None, FOREST_DEPTH_LIMIT),
+            numTrees=p.pop("n_estimators", 100),
+            maxDepth=_depth(p, None, p.pop("unlimited_depth", FOREST_UNLIMITED_DEPTH)),
             minInstancesPerNode=p.pop("min_samples_leaf", 1), impurity=p.pop("criterion", "gini"),
             maxBins=64, maxMemoryInMB=1024, seed=seed, **columns)
     else:
         model = GBTClassifier(
             maxIter=p.pop("n_estimators", 100), stepSize=p.pop("learning_rate", 0.3),
-            maxDepth=_depth(p, 6, TREE_DEPTH_LIMIT), subsamplingRate=p.pop("subsample", 1.0),
+            maxDepth=_depth(p, 6), subsamplingRate=p.pop("subsample", 1.0),
             featureSubsetStrategy=str(float(p.pop("colsample_bytree", 1.0))), maxBins=64, maxMemoryInMB=512,
             seed=seed, **columns)
     if p:
@@ -130,15 +136,10 @@ def save_model(model, folder: str, name: str) -> str | None:
     if model is None:
         return None
     path = f"{folder.rstrip('/')}/{name}"
-    if isinstance(model, KNNModel):
-        model.save(path)
-    else:
-        PipelineModel([model]).write().overwrite().save(path)
+    PipelineModel([model]).write().overwrite().save(path)
     return path
 
 
-def load_model(spark, folder: str, name: str) -> Model | KNNModel:
-    path = f"{folder.rstrip('/')}/{name}"
-    if name.startswith("knn"):
-        return KNNModel.load(spark, path)
-    return PipelineModel.load(path).stages[0]
+def load_model(spark, folder: str, name: str) -> Model:
+    """A saved model says itself what it is; its name is free."""
+    return PipelineModel.load(f"{folder.rstrip('/')}/{name}").stages[0]

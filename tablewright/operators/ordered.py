@@ -30,6 +30,23 @@ def ordered_parts(df: DataFrame, order: Sequence, parts: int | None = None) -> D
     return materialise(ranged, "ordered")
 
 
+def row_numbers(df: DataFrame, order: Sequence, out: str) -> DataFrame:
+    """Number the rows from 0 in ``order``: the place within a range partition after the rows of the partitions before it.
+
+    The rows of each partition are counted, a number per partition.
+    """
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__place", F.monotonically_increasing_id())
+    written = materialise(ranged, "numbered")
+    part = F.shiftright("__place", 33)
+    counts = {r["part"]: r["n"] for r in written.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    before, offsets = 0, []
+    for p in sorted(counts):
+        offsets += [F.lit(p), F.lit(before)]
+        before += counts[p]
+    offset = F.create_map(*offsets)[part] if offsets else F.lit(0)
+    return written.withColumn(out, offset + F.col("__place").bitwiseAND(F.lit((1 << 33) - 1))).drop("__place")
+
+
 def fill_along(df: DataFrame, order_by: Sequence[str], partition_by: Sequence[str] = (),
                columns: Sequence[str] | None = None, direction: str = "forward",
                parts: int | None = None) -> DataFrame:
@@ -54,11 +71,18 @@ def fill_along(df: DataFrame, order_by: Sequence[str], partition_by: Sequence[st
     edge = tagged.groupBy(PART).agg(*[
         pick(F.when(q(c).isNotNull(), F.struct(key_struct.alias("k"), order_struct.alias("o"), q(c).alias("v"))))
         .alias(f"e{i}") for i, c in enumerate(columns)])
-    # One row per part, at most MAX_PARTS of them: a single-task window over it is small.
+    edge = materialise(edge, "edges")  # read twice: for the numbers of the parts and for the values
+    # Per part and column the number of the part to carry from: a few numbers per part, at most MAX_PARTS rows.
     near = Window.partitionBy(F.lit(0)).orderBy(F.col(PART) if forward else F.col(PART).desc())
     before = near.rowsBetween(Window.unboundedPreceding, -1)
-    carried = edge.select(PART, *[F.last(f"e{i}", ignorenulls=True).over(before).alias(f"c{i}")
-                                  for i in range(len(columns))])
+    holds = edge.select(PART, *[F.when(F.col(f"e{i}").isNotNull(), F.col(PART)).alias(f"h{i}") for i in range(len(columns))])
+    behind = holds.select(PART, *[F.last(f"h{i}", ignorenulls=True).over(before).alias(f"s{i}") for i in range(len(columns))])
+    sources = behind.select(PART, F.posexplode(F.array(*[F.col(f"s{i}") for i in range(len(columns))])).alias("i", "source"))
+    # The values, which may be long texts, come by an equi-join on (part, column).
+    wide = F.struct(*[F.col(f"e{i}") for i in range(len(columns))])
+    fetched = sources.where("source IS NOT NULL").join(edge.select(F.col(PART).alias("source"), wide.alias("e")), "source")
+    carried = fetched.groupBy(PART).agg(*[
+        F.first(F.when(F.col("i") == i, F.col(f"e.e{i}")), ignorenulls=True).alias(f"c{i}") for i in range(len(columns))])
 
     # Carried texts may be long, so they are not broadcast. Both sides hash by part, which is also what the
     # window below asks for: the rows move once.

@@ -18,10 +18,13 @@ from pyspark.sql import types as T
 
 from tablewright.functions.hashing import HASH_BITS, digest_prefix, shuffle_digest
 from tablewright.operators.columns import q, require
+from tablewright.operators.ordered import row_numbers
+from tablewright.session import materialise, release
 
 SLICE_BITS = 10
 LEAF_ROWS = 64
-MAX_CLASSES = 1000
+# Up to so many classes their histograms and thresholds pass through the driver; beyond it they stay tables.
+DRIVER_CLASSES = 64
 
 
 def _class_slices(rows: DataFrame) -> DataFrame:
@@ -32,12 +35,8 @@ def _class_slices(rows: DataFrame) -> DataFrame:
 
 def _thresholds(rows: DataFrame, ranks_of, class_type: T.DataType) -> dict:
     """{class: [digest at each wanted rank]}; ``ranks_of`` maps {class: n} to {class: [0-based ranks]}."""
-    spark = rows.sparkSession
-    limit = MAX_CLASSES << SLICE_BITS
-    first = _class_slices(rows).limit(limit + 1).collect()
+    first = _class_slices(rows).collect()
     classes = sorted({r["class"] for r in first}, key=lambda v: (v is None, v if v is not None else 0))
-    if len(first) > limit or len(classes) > MAX_CLASSES:
-        raise ValueError(f"more than {MAX_CLASSES} classes to stratify by")
     histogram: dict = {}
     for r in first:
         histogram.setdefault((r["class"], 0), {})[r["slice"]] = r["n"]
@@ -84,10 +83,80 @@ def _thresholds(rows: DataFrame, ranks_of, class_type: T.DataType) -> dict:
     return out
 
 
+def _many_classes(rows: DataFrame) -> bool:
+    return rows.select("class").distinct().limit(DRIVER_CLASSES + 1).count() > DRIVER_CLASSES
+
+
+def _cuts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(class, cuts): the digests at the wanted ranks of each class, for any number of classes.
+
+    ``wanted`` has (class, ranks). The histograms and searches are tables joined by class; a class is never gathered: a pass
+    keeps at most 1024 counts per search, and the last one at most LEAF_ROWS digests.
+    """
+    state = wanted.select("class", F.posexplode("ranks").alias("i", "rank")).withColumn("prefix", F.lit(0).cast("long"))
+    state = materialise(state, "ranks")
+    shift = HASH_BITS
+    while True:
+        shift -= SLICE_BITS
+        spans = state.select(F.col("class").alias("span_class"), "prefix").distinct()
+        hit = F.col("class").eqNullSafe(F.col("span_class")) & (F.shiftright("h", shift + SLICE_BITS) == F.col("prefix"))
+        slices = rows.join(spans, hit).groupBy("span_class", "prefix", F.shiftright("h", shift).alias("slice")).agg(F.count(F.lit(1)).alias("n"))
+        listed = slices.groupBy("span_class", "prefix").agg(F.sort_array(F.collect_list(F.struct("slice", "n"))).alias("slices"))
+        start = F.struct(F.lit(None).cast("long").alias("slice"), F.col("rank").alias("rank"), F.lit(0).cast("long").alias("n"))
+        walk = F.aggregate("slices", start, lambda at, s: F.when(at["slice"].isNotNull(), at).when(
+            at["rank"] < s["n"], F.struct(s["slice"].alias("slice"), at["rank"].alias("rank"), s["n"].alias("n"))).otherwise(
+            F.struct(F.lit(None).cast("long").alias("slice"), (at["rank"] - s["n"]).alias("rank"), F.lit(0).cast("long").alias("n"))))
+        same = F.col("class").eqNullSafe(F.col("span_class")) & (F.col("s.prefix") == F.col("l.prefix"))
+        found = materialise(state.alias("s").join(listed.alias("l"), same).select("class", "i", walk.alias("w"))
+                            .select("class", "i", F.col("w.rank").alias("rank"), F.col("w.slice").alias("prefix"), F.col("w.n").alias("n")), "ranks")
+        release(state)
+        state = found
+        if shift == 0 or (state.agg(F.max("n")).first()[0] or 0) <= LEAF_ROWS:
+            break
+    searches = state.select(F.col("class").alias("span_class"), "i", "rank", "prefix")
+    hit = F.col("class").eqNullSafe(F.col("span_class")) & (F.shiftright("h", shift) == F.col("prefix"))
+    few = rows.join(searches, hit).groupBy("span_class", "i", "rank").agg(F.sort_array(F.collect_list("digest")).alias("digests"))
+    at = few.select("span_class", "i", F.get("digests", F.col("rank").cast("int")).alias("cut"),
+                    (F.get("digests", F.col("rank").cast("int")) == F.get("digests", F.col("rank").cast("int") + 1)).alias("repeats"))
+    cuts = materialise(at.groupBy("span_class").agg(F.sort_array(F.collect_list(F.struct("i", "cut"))).alias("cuts"), F.max("repeats").alias("repeats"))
+                       .select(F.col("span_class").alias("class"), F.transform("cuts", lambda c: c["cut"]).alias("cuts"), "repeats"), "cuts")
+    release(state)
+    if cuts.agg(F.max("repeats")).first()[0]:
+        raise ValueError("the split key repeats: it must be unique per row")
+    return cuts.drop("repeats")
+
+
+def _attach_cuts(df: DataFrame, strata: str, cuts: DataFrame) -> DataFrame:
+    table = cuts.select(F.col("class").alias("__class"), F.col("cuts").alias("__cuts"))
+    joined = df.join(table, q(strata).eqNullSafe(F.col("__class")), "left").drop("__class")
+    return joined.withColumn("__cuts", F.coalesce("__cuts", F.array().cast("array<string>")))
+
+
+def _quota_table(rows: DataFrame, test_size: float) -> DataFrame:
+    """(class, ranks) of a hold-out, by largest remainder over any number of classes."""
+    counts = materialise(rows.groupBy("class").agg(F.count(F.lit(1)).alias("n")), "class-counts")
+    n = counts.agg(F.sum("n")).first()[0] or 0
+    total = min(n, math.ceil(round(n * test_size, 9)))
+    exact = counts.withColumn("exact", F.lit(total) * F.col("n") / F.lit(n)).withColumn("base", F.floor("exact"))
+    spare = total - (exact.agg(F.sum("base")).first()[0] or 0)
+    turn = row_numbers(exact.withColumn("rest", F.col("exact") - F.col("base")), [F.col("rest").desc(), F.col("class").asc_nulls_last()], "turn")
+    quota = F.col("base") + (F.col("turn") < spare).cast("long")
+    return turn.withColumn("quota", quota).select("class", F.when(F.col("quota") > 0, F.array(F.col("quota") - 1)).otherwise(
+        F.array().cast("array<bigint>")).alias("ranks"))
+
+
+def _fold_table(rows: DataFrame, n_folds: int) -> DataFrame:
+    """(class, ranks) of the last row of each fold but the last non-empty one."""
+    counts = rows.groupBy("class").agg(F.count(F.lit(1)).alias("n"))
+    ends = F.transform(F.sequence(F.lit(1), F.lit(n_folds - 1)), lambda i: F.floor(F.col("n") / n_folds) * i + F.least(i.cast("long"), F.col("n") % n_folds))
+    return counts.select("class", F.array_distinct(F.filter(F.transform(F.filter(ends, lambda e: (e > 0) & (e < F.col("n"))), lambda e: e - 1),
+                                                            lambda r: r >= 0)).alias("ranks"))
+
+
 def _in_spans(rows: DataFrame, spans, class_type: T.DataType) -> DataFrame:
     schema = T.StructType([T.StructField("span_class", class_type), T.StructField("begin", T.LongType()),
                            T.StructField("end", T.LongType())])
-    # A few spans per class, of which there are at most MAX_CLASSES.
+    # A few spans per class, of which there are at most DRIVER_CLASSES.
     table = F.broadcast(rows.sparkSession.createDataFrame(spans, schema))
     hit = F.col("class").eqNullSafe(F.col("span_class")) & F.col("h").between(F.col("begin"), F.col("end"))
     return rows.join(table, hit)
@@ -107,7 +176,7 @@ def _attach(df: DataFrame, strata: str | None, class_type, thresholds: dict) ->
         cuts = next(iter(thresholds.values()), [])
         return df.withColumn("__cuts", F.array(*[F.lit(d) for d in cuts]).cast("array<string>"))
     schema = T.StructType([T.StructField("__class", class_type), T.StructField("__cuts", T.ArrayType(T.StringType()))])
-    # One row per class, at most MAX_CLASSES.
+    # One row per class, at most DRIVER_CLASSES.
     table = F.broadcast(df.sparkSession.createDataFrame(list(thresholds.items()), schema))
     return df.join(table, q(strata).eqNullSafe(F.col("__class"))).drop("__class")
 
@@ -137,7 +206,10 @@ def mark_holdout(df: DataFrame, key: Sequence[str], test_size: float = 0.2, targ
         quota = _quotas(counts, test_size) if counts else {}
         return {c: [quota[c] - 1] if quota[c] else [] for c in counts}
 
-    marked = _attach(df, strata, class_type, _thresholds(rows, ranks, class_type))
+    if strata is not None and _many_classes(rows):
+        marked = _attach_cuts(df, strata, _cuts(rows, _quota_table(rows, test_size)))
+    else:
+        marked = _attach(df, strata, class_type, _thresholds(rows, ranks, class_type))
     digest = shuffle_digest(key, seed)
     is_test = F.coalesce(digest <= F.try_element_at("__cuts", F.lit(1)), F.lit(False))
     return marked.withColumn(out, is_test).drop("__cuts")
@@ -164,6 +236,9 @@ def mark_folds(df: DataFrame, key: Sequence[str], n_folds: int = 3, stratify_by:
             ends[c] = [sum(sizes[:i + 1]) - 1 for i in range(n_folds - 1) if sizes[i] and sum(sizes[:i + 1]) < n]
         return ends
 
-    marked = _attach(df, stratify_by, class_type, _thresholds(rows, ranks, class_type))
+    if stratify_by is not None and _many_classes(rows):
+        marked = _attach_cuts(df, stratify_by, _cuts(rows, _fold_table(rows, n_folds)))
+    else:
+        marked = _attach(df, stratify_by, class_type, _thresholds(rows, ranks, class_type))
     digest = shuffle_digest(key, seed)
     return marked.withColumn(out, F.size(F.filter("__cuts", lambda cut: cut < digest))).drop("__cuts")

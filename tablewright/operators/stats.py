@@ -13,9 +13,6 @@ from tablewright.operators.columns import q
 from tablewright.operators.quantiles import exact_quantiles
 from tablewright.operators.ranges import any_violation
 
-MAX_CATEGORIES = 10_000
-
-
 def _long(df: DataFrame, names: Sequence[str], value="value") -> DataFrame:
     """One (column, value) row per text cell."""
     pairs = [F.struct(F.lit(c).alias("column"), q(c).cast("string").alias(value)) for c in names]
@@ -52,13 +49,16 @@ def category_values(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return _long(as_text, names).distinct()
 
 
-def fit_categories(df: DataFrame, names: Sequence[str], limit: int = MAX_CATEGORIES) -> dict[str, list[str]]:
-    """Sorted categories per column. Each becomes a column, so more than ``limit`` is an error."""
+def fit_categories(df: DataFrame, names: Sequence[str], limit: int | None = None) -> dict[str, list[str]]:
+    """Sorted categories per column, each of which becomes a column. More than ``limit`` in one column is an error; no limit by default."""
     if not names:
         return {}
-    rows = category_values(df, names).limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} categories in {list(names)}: not nominal columns")
+    values = category_values(df, names)
+    if limit is not None:
+        large = values.groupBy("column").count().where(F.col("count") > limit).collect()
+        if large:
+            raise ValueError(f"more than {limit} categories in {sorted(r['column'] for r in large)}")
+    rows = values.collect()
     return {c: sorted(r["value"] for r in rows if r["column"] == c) for c in names}
 
 
@@ -105,7 +105,15 @@ def quantile_table(df: DataFrame, probs: Mapping[str, Sequence[float]]) -> DataF
 
 def fit_bin_edges(df: DataFrame, names: Sequence[str], n_bins: int = 5, min_width: float = 1e-8) -> dict:
     """Quantile bin edges per column; edges closer than ``min_width`` are merged."""
-    found = exact_quantiles(df, {c: [i / n_bins for i in range(n_bins + 1)] for c in names})
+    return merge_edges(exact_quantiles(df, edge_probs(names, n_bins)), min_width)
+
+
+def edge_probs(names: Sequence[str], n_bins: int) -> dict[str, list[float]]:
+    return {c: [i / n_bins for i in range(n_bins + 1)] for c in names}
+
+
+def merge_edges(found: Mapping[str, Sequence], min_width: float = 1e-8) -> dict[str, list[float]]:
+    """Edges closer than ``min_width`` to the one before are left out."""
     edges = {}
     for c, values in found.items():
         kept = [v for v in values[:1] if v is not None]

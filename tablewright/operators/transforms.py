@@ -88,18 +88,21 @@ def scale_columns(df: DataFrame, scalers: Mapping[str, Mapping]) -> DataFrame:
 def _power_variances(df: DataFrame, exprs: Mapping[int, Column], grids: Mapping[int, Sequence[float]]) -> dict:
     """{(column number, grid position): variance of the transformed column}.
 
-    The lambdas are data, not code: each value is paired with its column's grid and aggregated per pair, so
-    one compiled plan serves every round. The pairs are combined map-side to a few rows per task.
+    The lambdas are data, not code: an array literal keeps the compiled plan the same from round to round. Each value is
+    transformed once per grid point within its row, and each grid point is one aggregate.
     """
-    cells = F.array(*[F.struct(F.lit(i).alias("i"), e.cast("double").alias("x"), F.array(*[F.lit(g) for g in grids[i]])
-                               .alias("grid")) for i, e in exprs.items()])
-    values = df.select(F.inline(cells)).filter("x IS NOT NULL").select("i", "x", F.posexplode("grid").alias("k", "lam"))
-    x, lam = F.col("x"), F.col("lam")
-    upper = F.when(F.abs(lam) < 1e-12, F.log1p(x)).otherwise((F.pow(x + 1.0, lam) - 1.0) / lam)
-    rest = 2.0 - lam
-    lower = F.when(F.abs(rest) < 1e-12, -F.log1p(-x)).otherwise(-(F.pow(1.0 - x, rest) - 1.0) / rest)
-    power = F.when(x >= 0, upper).otherwise(lower)
-    return {(r["i"], r["k"]): r["v"] for r in values.groupBy("i", "k").agg(F.var_pop(power).alias("v")).collect()}
+    def powers(x: Column, grid: Sequence[float]) -> Column:
+        def power(lam: Column) -> Column:
+            rest = 2.0 - lam
+            upper = F.when(F.abs(lam) < 1e-12, F.log1p(x)).otherwise((F.pow(x + 1.0, lam) - 1.0) / lam)
+            lower = F.when(F.abs(rest) < 1e-12, -F.log1p(-x)).otherwise(-(F.pow(1.0 - x, rest) - 1.0) / rest)
+            return F.when(x >= 0, upper).otherwise(lower)
+
+        return F.when(x.isNotNull(), F.transform(F.array(*[F.lit(g) for g in grid]), power))
+
+    transformed = df.select(*[powers(e.cast("double"), grids[i]).alias(f"p{i}") for i, e in exprs.items()])
+    row = transformed.agg(*[F.var_pop(F.get(f"p{i}", F.lit(k))).alias(f"v{i}_{k}") for i in exprs for k in range(len(grids[i]))]).first()
+    return {(i, k): row[f"v{i}_{k}"] for i in exprs for k in range(len(grids[i])) if row[f"v{i}_{k}"] is not None}
 
 
 def _vertex(fit: Sequence[float], best: int) -> float:
@@ -114,7 +117,8 @@ def fit_yeo_johnson(df: DataFrame, exprs: Mapping[str, Column], points: int = 9,
 
     One aggregate per round evaluates a grid of lambdas for all columns. The likelihood is smooth, so the
     next grid, ten times finer, is centred on the top of the parabola through the best three points; a
-    best point at the edge moves the grid instead.
+    best point at the edge moves the grid instead. A column without a finite likelihood (its values are all equal, or infinite), and
+    a search that does not settle, are errors.
     """
     names, half = list(exprs), points // 2
     centre, step = {c: 0.0 for c in exprs}, {c: 0.5 for c in exprs}
@@ -133,13 +137,15 @@ def fit_yeo_johnson(df: DataFrame, exprs: Mapping[str, Column], points: int = 9,
                    for lam, v in zip(grids[i], values)]
             best = max(range(points), key=fit.__getitem__)
             if fit[best] == -math.inf:
-                centre[c], left[c] = 1.0, 0
-                continue
+                raise ValueError(f"no power transform of {c!r} has a finite likelihood")
             centre[c] = grids[i][best]
             if 0 < best < points - 1:
                 centre[c] += step[c] * _vertex(fit, best)
                 step[c] /= 10
                 left[c] -= 1
+    unsettled = [c for c in names if left[c]]
+    if unsettled:
+        raise RuntimeError(f"the search for a power transform of {unsettled} did not settle")
     return centre
 
 

@@ -17,7 +17,7 @@ from tablewright.operators.select import assemble, select_features
 from tablewright.operators.split import mark_folds
 from tablewright.operators.tune import tune_or_default
 from tablewright.plans.prepare import ROW_KEY, PrepareConfig, prepare
-from tablewright.session import materialise
+from tablewright.session import Scratch, materialise
 from tablewright.sources.reader import load_table
 from tablewright.sources.writer import write_table
 
@@ -53,9 +53,26 @@ class AutoMLResult:
     scored: dict[str, DataFrame]
     params: dict[str, dict]
     status: dict[str, str]
+    scratch: Scratch | None = None
+
+    def release(self) -> None:
+        """Delete the intermediate tables of the run; read or save the tables above before."""
+        if self.scratch is not None:
+            self.scratch.release()
 
 
 def run_automl(train: DataFrame, test: DataFrame, config: AutoMLConfig) -> AutoMLResult:
+    scratch = Scratch(train.sparkSession).open()
+    try:
+        result = _run_automl(train, test, config)
+    except BaseException:
+        scratch.release()
+        raise
+    result.scratch = scratch.close()
+    return result
+
+
+def _run_automl(train: DataFrame, test: DataFrame, config: AutoMLConfig) -> AutoMLResult:
     cfg = config
     features, target = split_target(train, cfg.target_col, drop=("ID", cfg.key))
     split_target(test, cfg.target_col)

@@ -64,31 +64,54 @@ EVENT_ORDER = ["ts", "event_id"]
 # --- sources and sinks ----------------------------------------------------------------------------------
 
 @query("csv_roundtrip", f"""{with_views("dirty_customer")}
-SELECT c_custkey, CAST(c_nationkey AS BIGINT) AS c_nationkey, acctbal,
+SELECT c_custkey, CAST(c_nationkey AS BIGINT) AS c_nationkey, acctbal, nullif(segment, '') AS segment, age_text,
   CASE WHEN score_text <> 'n/a' THEN CAST(score_text AS BIGINT) END AS score_text
 FROM dirty_customer""")
 def csv_roundtrip(spark, sf):
     path = scratch_path(spark, "roundtrip") + ".csv"
-    write_table(view(spark, sf, "dirty_customer").select("c_custkey", "c_nationkey", "acctbal", "score_text"),
-                path, "csv", sep=";")
+    write_table(view(spark, sf, "dirty_customer"), path, "csv", sep=";")
     return load_table(spark, path, sep=";")
 
 
-@query("json_roundtrip", """
-SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders""")
+@query("csv_roundtrip_documents", "SELECT doc_id, text, lang, source, n_chars FROM documents")
+def csv_roundtrip_documents(spark, sf):
+    """Texts with line breaks, quotes and blanks at their ends; types by inference."""
+    path = scratch_path(spark, "roundtrip") + ".csv"
+    write_table(table(spark, sf, "documents"), path, "csv", rows_per_file=200)
+    return load_table(spark, path)
+
+
+@query("csv_roundtrip_events", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
+def csv_roundtrip_events(spark, sf):
+    """Times to the microsecond and JSON texts, by a given schema."""
+    path = scratch_path(spark, "roundtrip") + ".csv"
+    events = table(spark, sf, "events")
+    write_table(events, path, "csv")
+    return load_table(spark, path, schema=events.schema, multiline=False)
+
+
+@query("json_roundtrip", "SELECT * FROM orders")
 def json_roundtrip(spark, sf):
     path = scratch_path(spark, "roundtrip") + ".json"
-    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
-                                               "o_orderpriority")
+    orders = table(spark, sf, "orders")
     write_table(orders, path, "json")
-    return load_table(spark, path, lines=True)
+    return load_table(spark, path, lines=True, schema=orders.schema)
+
+
+@query("json_arrays", "SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal, c_mktsegment FROM customer")
+def json_arrays(spark, sf):
+    """Files that hold one array of records each: a file per nation."""
+    path = scratch_path(spark, "arrays") + ".json"
+    customers = table(spark, sf, "customer")
+    arrays = customers.groupBy("c_nationkey").agg(F.to_json(F.collect_list(F.struct(*customers.columns))).alias("value"))
+    arrays.select("value").write.option("maxRecordsPerFile", 1).text(path)
+    return load_table(spark, path)
 
 
-@query("parquet_roundtrip", """
-SELECT event_id, user_id, event_type, value FROM events""")
+@query("parquet_roundtrip", "SELECT * FROM events")
 def parquet_roundtrip(spark, sf):
     path = scratch_path(spark, "roundtrip") + ".parquet"
-    write_table(table(spark, sf, "events").select("event_id", "user_id", "event_type", "value"), path)
+    write_table(table(spark, sf, "events"), path)
     return load_table(spark, path)
 
 
@@ -113,7 +136,21 @@ def split_features_target(spark, sf):
     return kept.select(*features, target)
 
 
-@query("column_kinds")
+_LINEITEM_KINDS = ["l_orderkey bigint", "l_partkey bigint", "l_suppkey bigint", "l_linenumber int", "l_quantity double",
+                   "l_extendedprice double", "l_discount double", "l_tax double", "l_returnflag string", "l_linestatus string",
+                   "l_shipdate timestamp_ntz"]
+
+
+def _kinds_sql() -> str:
+    rows = []
+    for name, kind in map(str.split, _LINEITEM_KINDS):
+        group = "text" if kind == "string" else "other" if kind == "timestamp_ntz" else "numeric"
+        rows.append(f"SELECT '{name}' AS \"column\", '{kind}' AS type, '{group}' AS kind, {kind == 'double'} AS scaled, "
+                    f"count({name}) AS present FROM lineitem")
+    return "\nUNION ALL ".join(rows)
+
+
+@query("column_kinds", _kinds_sql())
 def column_kinds(spark, sf):
     """Name, declared type and class of every column; the schema is the data here."""
     df = table(spark, sf, "lineitem")
@@ -716,6 +753,20 @@ def kfold_stratified(spark, sf):
     return split.mark_folds(df, ["c_custkey"], 5, stratify_by="c_mktsegment")
 
 
+def _many_classes_sql() -> str:
+    return (f"WITH {holdout_sql('orders', 'o_orderkey', 'o_custkey')},\n"
+            f"folds AS (SELECT o_orderkey, CAST(ntile(3) OVER (PARTITION BY o_custkey ORDER BY {_digest_sql('o_orderkey')}) - 1 AS INT) AS fold FROM orders)\n"
+            "SELECT o_orderkey, o_custkey, is_test, fold FROM marked JOIN folds USING (o_orderkey)")
+
+
+@query("split_many_classes", _many_classes_sql())
+def split_many_classes(spark, sf):
+    """Hold-out and folds within more classes than pass through the driver."""
+    df = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    marked = split.mark_holdout(df, ["o_orderkey"], 0.2, "o_custkey")
+    return split.mark_folds(marked, ["o_orderkey"], 3, stratify_by="o_custkey")
+
+
 # --- metrics --------------------------------------------------------------------------------------------
 
 _COUNTS = ("sum(CASE WHEN label = 1 AND prediction = 1 THEN 1 ELSE 0 END) AS tp, sum(prediction) AS pp, sum(label) AS ap, "

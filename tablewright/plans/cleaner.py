@@ -7,7 +7,7 @@ from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import DataFrame
 
-from tablewright.functions.fuzzy import canonicalise
+from tablewright.functions.fuzzy import canonicalise_columns
 from tablewright.functions.text import NULL_TOKENS, age_bucket, normalise_text, null_tokens
 from tablewright.operators.columns import absolute, drop_columns, numeric_columns, q, replace_columns, text_columns
 from tablewright.operators.dedup import drop_duplicate_rows
@@ -96,8 +96,16 @@ class CleanerModel:
     medians: dict[str, float | None]
     modes: dict[str, str]
 
-    def standardise(self, df: DataFrame) -> DataFrame:
-        """The row-wise steps on text: normalise, null tokens, fuzzy repair, ages."""
+    def standardise(self, df: DataFrame, source: DataFrame | None = None) -> DataFrame:
+        """The row-wise steps on text: normalise, null tokens, fuzzy repair, ages.
+
+        ``source`` holds the same texts as ``df`` or more and is cheaper to read; the values to repair are sought there.
+        """
+        categories = {c: golden for c, golden in self.config.golden_specs.items() if c != self.config.age_col and c in df.columns}
+        return canonicalise_columns(self._texts(df), categories, self.config.fuzzy_threshold, self.config.fuzzy_scorer,
+                                    None if source is None else self._texts(source))
+
+    def _texts(self, df: DataFrame) -> DataFrame:
         cfg = self.config
         if cfg.age_col in df.columns and cfg.age_col not in cfg.golden_specs:
             raise ValueError(f"golden_specs must list the valid labels of {cfg.age_col!r}")
@@ -108,8 +116,7 @@ class CleanerModel:
         for c, golden in specs.items():
             tokens = [t for t in cfg.null_tokens if c == cfg.age_col or not (cfg.protect_golden and t in golden)]
             text = null_tokens(q(c), tokens)
-            changes[c] = (age_bucket(text, golden) if c == cfg.age_col
-                          else canonicalise(text, golden, cfg.fuzzy_threshold, cfg.fuzzy_scorer))
+            changes[c] = age_bucket(text, golden) if c == cfg.age_col else text
         return replace_columns(df, changes)
 
     def checked(self, df: DataFrame, write: bool = True) -> DataFrame:
@@ -117,8 +124,8 @@ class CleanerModel:
         it before they filter it, and fits that follow would repeat the duplicate removal."""
         cfg = self.config
         out = drop_columns(df, [c for c in cfg.cols_to_drop if c != cfg.row_key])
-        out = drop_duplicate_rows(out, cfg.row_key if cfg.row_key in out.columns else None)
-        out = self.standardise(absolute(out, self.numeric))
+        once = drop_duplicate_rows(out, cfg.row_key if cfg.row_key in out.columns else None)
+        out = self.standardise(absolute(once, self.numeric), source=out)
         if write:
             out = materialise(out, "cleaned")
         return enforce_ranges(out, cfg.range_rules, cfg.max_drop_ratio)

@@ -11,7 +11,7 @@ from tablewright.operators.columns import row_sum
 from tablewright.operators.split import mark_holdout
 from tablewright.plans.cleaner import Cleaner, CleanerConfig, CleanerModel
 from tablewright.plans.transformer import Transformer, TransformerConfig, TransformerModel
-from tablewright.session import materialise, release
+from tablewright.session import Scratch, materialise
 
 ROW_KEY = "__row_key"
 
@@ -42,9 +42,12 @@ class Prepared:
     cleaner: CleanerModel
     transformer: TransformerModel
 
+    scratch: Scratch | None = None
+
     def release(self) -> None:
-        """Delete the written intermediate tables that ``train`` and ``test`` still read."""
-        release(self.train)
+        """Delete all intermediate tables that the preparation wrote; ``train`` and ``test`` read them until then."""
+        if self.scratch is not None:
+            self.scratch.release()
 
 
 def _engineer(df: DataFrame, sums: dict) -> DataFrame:
@@ -60,9 +63,28 @@ def _keyed(df: DataFrame, key: str | None) -> DataFrame:
     return materialise(df.withColumn(ROW_KEY, F.monotonically_increasing_id()), "keyed")
 
 
+def _columnar(df: DataFrame, drop) -> DataFrame:
+    """The columns that are needed, written once if ``df`` is parsed from text files: every fit below would parse them again."""
+    needed = df.drop(*drop)
+    if all(file.endswith(".parquet") for file in df.inputFiles()):
+        return needed
+    return materialise(needed, "raw")
+
+
 def prepare(raw: DataFrame, config: PrepareConfig) -> Prepared:
+    scratch = Scratch(raw.sparkSession).open()
+    try:
+        train, test, cleaned, fitted = _prepare(raw, config)
+    except BaseException:
+        scratch.release()
+        raise
+    return Prepared(train, test, cleaned, fitted, scratch.close())
+
+
+def _prepare(raw: DataFrame, config: PrepareConfig) -> tuple[DataFrame, DataFrame, CleanerModel, TransformerModel]:
     cfg = config
-    df = _keyed(raw, cfg.key)
+    drop = [c for c in cfg.cleaner.cols_to_drop if c not in (cfg.key, cfg.target_col)]
+    df = _keyed(_columnar(raw, drop) if cfg.key is not None else raw.drop(*drop), cfg.key)
     settings = {**cfg.cleaner.__dict__, "row_key": ROW_KEY}
     cleaner = Cleaner(CleanerConfig(**settings))
 
@@ -87,4 +109,4 @@ def prepare(raw: DataFrame, config: PrepareConfig) -> Prepared:
     train, test = fitted.transform(train), fitted.transform(test)
     if not cfg.keep_key:
         train, test = train.drop(ROW_KEY), test.drop(ROW_KEY)
-    return Prepared(train, test, cleaned, fitted)
+    return train, test, cleaned, fitted

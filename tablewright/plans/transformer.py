@@ -8,12 +8,12 @@ from dataclasses import asdict, dataclass, field
 from pyspark.sql import DataFrame
 
 from tablewright.operators.columns import numeric_columns, require
-from tablewright.operators.stats import fit_bin_edges, fit_categories
+from tablewright.operators.quantiles import exact_quantiles
+from tablewright.operators.stats import edge_probs, fit_categories, merge_edges
 from tablewright.operators.transforms import (
     bin_columns,
     encode_one_hot,
     encode_ordinal,
-    fit_caps,
     fit_scalers,
     outlier_strategy,
     scale_columns,
@@ -35,6 +35,7 @@ class TransformerConfig:
     nominal_cols: Sequence[str] = ()
     ignore_cols: Sequence[str] = ()
     skew_with_missing: str = "minmax"
+    max_categories: int | None = None
 
 
 class Transformer:
@@ -47,11 +48,15 @@ class Transformer:
         require(df, cfg.nominal_cols, "nominal columns")
         numeric = numeric_columns(df, [*cfg.binning_cols, *cfg.nominal_cols, *cfg.ignore_cols])
         choice = {c: outlier_strategy(c, cfg.outlier_strategies, cfg.default_outlier_strategy) for c in numeric}
-        edges, caps, categories = run_together(
+        binned = [c for c in cfg.binning_cols if c in df.columns]
+        capped = [c for c in numeric if choice[c] == "capping" and c not in binned]
+        # Edges and limits share the passes of one search.
+        found, categories = run_together(
             df.sparkSession,
-            lambda: fit_bin_edges(df, [c for c in cfg.binning_cols if c in df.columns], cfg.n_bins),
-            lambda: fit_caps(df, [c for c in numeric if choice[c] == "capping"], cfg.capping_quantiles),
-            lambda: fit_categories(df, cfg.nominal_cols))
+            lambda: exact_quantiles(df, edge_probs(binned, cfg.n_bins) | {c: list(cfg.capping_quantiles) for c in capped}),
+            lambda: fit_categories(df, cfg.nominal_cols, cfg.max_categories))
+        edges = merge_edges({c: found[c] for c in binned})
+        caps = {c: tuple(found[c]) for c in capped if found[c][0] is not None}
         model = TransformerModel(cfg, numeric, edges, caps, categories, {})
         scalers = fit_scalers(model.unscaled(df), numeric, cfg.scaling_strategy,
                               [*cfg.ordinal_mappings, *cfg.binning_cols], cfg.skew_with_missing)

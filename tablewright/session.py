@@ -6,11 +6,47 @@ import tempfile
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 _local_scratch: str | None = None
+_scopes: list[Scratch] = []
+
+
+class Scratch:
+    """The intermediate tables written since it was opened; ``release`` deletes them."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def open(self) -> Scratch:
+        _scopes.append(self)
+        return self
+
+    def close(self) -> Scratch:
+        if self in _scopes:
+            _scopes.remove(self)
+        return self
+
+    def release(self) -> None:
+        self.close()
+        while self.paths:
+            _delete(self.spark, self.paths.pop())
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Delete, at the end, all intermediate tables that operators write inside the block.
+
+    Results that were not collected or written within the block cannot be read after it.
+    """
+    scope = Scratch(spark).open()
+    try:
+        yield scope
+    finally:
+        scope.release()
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -32,7 +68,15 @@ def scratch_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_dir(spark)}/tablewright/{name}-{uuid.uuid4().hex}"
+    path = f"{scratch_dir(spark)}/tablewright/{name}-{uuid.uuid4().hex}"
+    for scope in list(_scopes):
+        scope.paths.append(path)
+    return path
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def materialise(df: DataFrame, name: str = "table") -> DataFrame:
@@ -51,14 +95,11 @@ def release(df: DataFrame) -> None:
     """Delete the written tables under the scratch folder that ``df`` reads."""
     spark = df.sparkSession
     root = f"{scratch_dir(spark)}/tablewright/"
-    jvm = spark.sparkContext._jvm
-    hadoop_conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for file in df.inputFiles():
-        if "/tablewright/" not in file:
-            continue
-        table = file.split("/tablewright/", 1)[1].split("/", 1)[0]
-        path = jvm.org.apache.hadoop.fs.Path(root + table)
-        path.getFileSystem(hadoop_conf).delete(path, True)
+    # Files carry a scheme that the configured folder may lack: the folder's own path is what both share.
+    inside = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root).toUri().getPath().rstrip("/") + "/"
+    tables = {file.split(inside, 1)[1].split("/", 1)[0] for file in df.inputFiles() if inside in file}
+    for table in tables:
+        _delete(spark, root + table)
 
 
 def run_together(spark: SparkSession, *jobs: Callable) -> list:

@@ -59,21 +59,24 @@ def _infer(raw: DataFrame) -> DataFrame:
     """
     if not raw.columns:
         return raw
-    # One (column, cell) row per cell: the test is compiled once and stays small, whatever the width.
-    cells = raw.select(F.inline(F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"`{c}`").alias("cell"))
-                                          for i, c in enumerate(raw.columns)])))
-    kinds = dict(cells.groupBy("i").agg(F.bit_or(_cell_kind(F.col("cell")))).collect())
+    # One aggregate with one value per column. The test runs over an array of the cells, so that it is compiled
+    # once and stays small, whatever the width.
+    cells = raw.select(F.transform(F.array(*[F.col(f"`{c}`") for c in raw.columns]), _cell_kind).alias("kinds"))
+    found = cells.agg(*[F.bit_or(F.get("kinds", F.lit(i))).alias(f"k{i}") for i in range(len(raw.columns))]).first()
+    kinds = {i: found[i] for i in range(len(raw.columns)) if found[i] is not None}
     types = {c: _column_type(kinds[i]) if i in kinds else "double" for i, c in enumerate(raw.columns)}
     return raw.withColumns({c: F.col(f"`{c}`").try_cast(t) for c, t in types.items() if t != "string"})
 
 
 def read_csv(spark: SparkSession, path: str, sep: str = ",", header: bool = True, schema=None,
-             missing=MISSING_TEXT, **options) -> DataFrame:
+             missing=MISSING_TEXT, multiline: bool = True, **options) -> DataFrame:
     """CSV with any separator. Texts in ``missing`` become NULL before the types are inferred.
 
-    Give a ``schema`` for large files: inference reads the whole file once.
+    Quoted cells may hold line breaks, so a file is read by one task; the sink bounds the size of its files for that. Give
+    ``multiline=False`` for files known to have one row per line, which are split between tasks. Give a ``schema`` for large
+    files: inference reads everything once.
     """
-    reader = spark.read.options(sep=sep, header=header, quote='"', escape='"', **options)
+    reader = spark.read.options(sep=sep, header=header, quote='"', escape='"', multiLine=multiline, **options)
     names = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     if names is not None:
         reader = reader.schema(T.StructType([T.StructField(f.name, T.StringType()) for f in names]))

@@ -28,9 +28,8 @@ def found(model, test, k=None):
 
 @pytest.mark.parametrize("p", [1, 2])
 @pytest.mark.parametrize("shape", ["clusters", "one_hot_cell", "high_dimension", "equal_points"])
-def test_pruned_search_equals_brute_force(spark, monkeypatch, p, shape):
+def test_pruned_search_equals_brute_force(spark, p, shape):
     """Many cells, tiny blocks: every path of the search runs and no neighbour is lost."""
-    monkeypatch.setattr(knn, "ROWS_PER_PIVOT", 30)
     rng = np.random.default_rng(4)
     n, m, k = 300, 60, 5
     if shape == "clusters":
@@ -45,16 +44,15 @@ def test_pruned_search_equals_brute_force(spark, monkeypatch, p, shape):
     else:
         train, test = rng.integers(0, 3, (n, 2)).astype(float), rng.integers(0, 3, (m, 2)).astype(float)
     train_df, test_df = tables(spark, train, test, rng.integers(0, 2, n))
-    model = KNNClassifier(k, p=p, key_col="id", block_rows=32).fit(train_df)
+    model = KNNClassifier(k, p=p, key_col="id", block_rows=32, rows_per_pivot=30).fit(train_df)
     assert found(model, test_df) == brute(train, test, k, p)
 
 
-def test_more_neighbours_than_any_cell_holds(spark, monkeypatch):
-    monkeypatch.setattr(knn, "ROWS_PER_PIVOT", 4)
+def test_more_neighbours_than_any_cell_holds(spark):
     rng = np.random.default_rng(9)
     train, test = rng.random((60, 2)), rng.random((10, 2))
     train_df, test_df = tables(spark, train, test, [0] * 60)
-    model = KNNClassifier(50, key_col="id", block_rows=8).fit(train_df)
+    model = KNNClassifier(50, key_col="id", block_rows=8, rows_per_pivot=4).fit(train_df)
     assert found(model, test_df) == brute(train, test, 50, 2)
 
 
@@ -79,7 +77,7 @@ def test_transform_save_load(spark, tmp_path):
     train_df, test_df = tables(spark, train, test, (train[:, 0] > 0.5).astype(int))
     model = KNNClassifier(3, key_col="id").fit(train_df)
     model.save(str(tmp_path / "knn"))
-    again = KNNModel.load(spark, str(tmp_path / "knn"))
+    again = KNNModel.load(str(tmp_path / "knn"))
     pick = lambda m: sorted((r["id"], r["prediction"], float(r["probability"][1])) for r in m.transform(test_df).collect())
     assert pick(model) == pick(again) and len(pick(model)) == 20
     accuracy = model.transform(test_df).filter(F.col("prediction") == (F.col("features")[0] > 0.5).cast("double")).count()

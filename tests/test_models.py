@@ -70,7 +70,7 @@ def test_parameters_translate(spark):
 
 def test_grids_and_draws():
     sizes = {m: len(models.param_grid(m)) for m in models.SUPPORTED_MODELS}
-    assert sizes == {"logistic_regression": 6, "svm": 4, "decision_tree": 24, "random_forest": 8, "xgboost": 72,
+    assert sizes == {"logistic_regression": 6, "svm": 8, "decision_tree": 24, "random_forest": 8, "xgboost": 72,
                      "knn": 20}
     grid = models.param_grid("xgboost")
     drawn = models.draw_from_grid(grid)
