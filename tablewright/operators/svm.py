@@ -30,7 +30,7 @@ class _Columns(HasFeaturesCol, HasLabelCol, HasPredictionCol, HasRawPredictionCo
     pass
 
 
-def _sums(rows: DataFrame, weights: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+def loss_sums(rows: DataFrame, weights: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
     """Loss, gradient and curvature of the squared hinge at ``weights``, summed over all rows."""
     d = len(weights)
 
@@ -112,7 +112,7 @@ class SquaredHingeSVC(Estimator, _Columns, HasMaxIter, HasTol, DefaultParamsRead
             return c * loss + (0.5 * weights @ weights if penalty == "l2" else np.abs(weights).sum())
 
         weights = np.zeros(len(first["x"]) + 1)
-        loss, gradient, curvature = _sums(rows, weights)
+        loss, gradient, curvature = loss_sums(rows, weights)
         start = residual(weights, c * gradient, penalty) or 1.0
         for _ in range(self.getMaxIter()):
             if residual(weights, c * gradient, penalty) <= self.getTol() * start:
@@ -124,7 +124,7 @@ class SquaredHingeSVC(Estimator, _Columns, HasMaxIter, HasTol, DefaultParamsRead
             now, size = worth(weights, loss), 1.0
             while True:
                 trial = weights + size * step
-                found = _sums(rows, trial)
+                found = loss_sums(rows, trial)
                 if worth(trial, found[0]) <= now or size < 1e-6:
                     break
                 size /= 2

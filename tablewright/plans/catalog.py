@@ -3,7 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
+import numpy as np
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,17 +16,18 @@ from tablewright.functions import numeric as num
 from tablewright.functions import text as txt
 from tablewright.functions.fuzzy import canonicalise
 from tablewright.operators import columns as cols
-from tablewright.operators import metrics, models, ranges, split, stats, transforms, tune
+from tablewright.operators import metrics, models, ranges, split, stats, svm, transforms, tune
 from tablewright.operators.dedup import drop_duplicate_rows
 from tablewright.operators.impute import fill_values, fit_fill_values, impute
 from tablewright.operators.knn import KNNClassifier
 from tablewright.operators.ordered import fill_along
 from tablewright.operators.quantiles import exact_medians
 from tablewright.operators.select import assemble, select_features
-from tablewright.plans.automl import AutoMLConfig, run_automl, save_report
+from tablewright.plans.automl import AutoMLConfig, risk_run, run_automl, save_report
 from tablewright.plans.cleaner import Cleaner
 from tablewright.plans.prepare import ROW_KEY, prepare
 from tablewright.plans.risk import FAMILY, TARGET, risk_automl, risk_prepare
+from tablewright.plans.stages import RowSum, Stage
 from tablewright.plans.transformer import Transformer
 from tablewright.plans.views import VIEWS, table, view
 from tablewright.session import materialise, scratch_path
@@ -620,11 +626,25 @@ def scale_power_fixed(spark, sf):
     return rounded(transforms.scale_columns(df, {"c_acctbal": scaler}), "c_acctbal")
 
 
-@query("scale_power")
+@query("scale_power", "SELECT count(*) AS n, true AS centred, true AS unit, true AS symmetric, true AS likeliest FROM events WHERE value IS NOT NULL")
 def scale_power(spark, sf):
-    """Automatic choice on skewed columns: lambda by maximum likelihood, then z-scores."""
+    """Automatic choice on a skewed column: lambda of the greatest likelihood, then z-scores.
+
+    The result proves itself: mean 0, deviation 1, skewness below a tenth, and no likelier lambda next to it.
+    """
     df = table(spark, sf, "events").select("event_id", "value")
-    return transforms.scale_columns(df, transforms.fit_scalers(df, ["value"], "auto"))
+    scalers = transforms.fit_scalers(df, ["value"], "auto")
+    lam = scalers["value"]["lambda"]
+    scaled = transforms.scale_columns(df, scalers)
+    m = scaled.agg(F.count("value").alias("n"), F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"), F.skewness("value").alias("skew"))
+
+    def likelihood(x: float):
+        return (-F.count("value") / 2 * F.log(F.var_pop(num.yeo_johnson(F.col("value"), x)))
+                + (x - 1) * F.sum(F.signum("value") * F.log1p(F.abs("value"))))
+
+    best = df.agg((likelihood(lam) >= F.greatest(likelihood(lam - 0.05), likelihood(lam + 0.05))).alias("likeliest"))
+    return m.select("n", (F.abs("mean") < 1e-6).alias("centred"), (F.abs(F.col("std") - 1) < 1e-6).alias("unit"),
+                    (F.abs("skew") < 0.1).alias("symmetric")).crossJoin(F.broadcast(best))
 
 
 def _auto_sql() -> str:
@@ -999,73 +1019,158 @@ def knn_manhattan(spark, sf):
     return _knn(spark, sf, 5, "uniform", 1)
 
 
+@query("knn_neighbours", _knn_sql(5, "uniform", 2).split("\nw AS")[0].rstrip(",") + """
+SELECT vec_id, CAST(row_number() OVER (PARTITION BY vec_id ORDER BY d, train_id) AS INT) AS rank, train_id,
+  CAST(label AS DOUBLE) AS label, round(d, 6) AS distance FROM near""")
+def knn_neighbours(spark, sf):
+    """Every neighbour of the search over many cells in small blocks."""
+    marked = materialise(split.mark_holdout(table(spark, sf, "embeddings"), ["vec_id"], 0.2, "label"))
+    knn = KNNClassifier(5, "uniform", 2, key_col="vec_id", featuresCol="embedding", rows_per_pivot=20, block_rows=16)
+    found = knn.fit(marked.filter(~F.col("is_test"))).neighbours(marked.filter("is_test"))
+    return found.select(F.col("test_key").alias("vec_id"), "rank", F.col("train_key").alias("train_id"), "label",
+                        F.round("distance", 6).alias("distance"))
+
+
 # --- models ---------------------------------------------------------------------------------------------
 
-_MODEL_FEATURES = ["DRIVING_EXPERIENCE", "VEHICLE_YEAR", "AGE", "INCOME", "CREDIT_SCORE", "ANNUAL_MILEAGE"]
+# Fitted models have no SQL. These queries return what proves a fit, and the SQL says what it has to be.
+
+_TEST_ROWS = "FROM final WHERE is_test"
 
 
 def _model_tables(spark, sf):
+    """Training and test vectors over all features of the prepared table."""
     done = prepare(view(spark, sf, "risk"), risk_prepare(keep_key=True))
-    train, test = (assemble(df, _MODEL_FEATURES, TARGET, [ROW_KEY]) for df in (done.train, done.test))
-    return train, test
+    features, _ = cols.split_target(done.train, TARGET, drop=(ROW_KEY,))
+    return tuple(materialise(assemble(df, features, TARGET, [ROW_KEY]), "model") for df in (done.train, done.test))
 
 
-def _scored(spark, sf, name, **params):
+def _fitted(spark, sf, name, **params):
     train, test = _model_tables(spark, sf)
     model = models.train_model(models.build_model(name, train.count(), key_col=ROW_KEY, **params), train)
     output = models.predict(model, test)
-    return output.select(F.col(ROW_KEY).alias("row_key"), "label", "prediction",
-                         metrics.score_column(output).alias("score"))
+    scored = output.select(F.col(ROW_KEY).alias("row_key"), "label", "prediction", metrics.score_column(output).alias("score"))
+    return train, model, materialise(scored, "scored")
 
 
-@query("model_logistic")
-def model_logistic(spark, sf):
-    return _scored(spark, sf, "logistic_regression")
+def _beats_majority(scored):
+    """Test rows, whether scores are probabilities, and whether accuracy is above that of the larger class."""
+    right = F.avg((F.col("label") == F.col("prediction")).cast("double"))
+    return scored.agg(F.count(F.lit(1)).alias("n_test"), F.min(F.col("score").between(0.0, 1.0)).alias("scores_in_range"),
+                      (right > F.greatest(F.avg("label"), 1 - F.avg("label"))).alias("beats_majority"))
+
+
+_BEATS_SQL = f"{RISK_SQL}\nSELECT count(*) AS n_test, true AS scores_in_range, true AS beats_majority {_TEST_ROWS}"
 
 
-@query("model_svm")
+@query("model_logistic", f"{RISK_SQL}\nSELECT count(*) AS n_train, true AS optimal FROM final WHERE NOT is_test")
+def model_logistic(spark, sf):
+    """The gradient of the penalised log loss at the fitted weights is below a hundredth of that at zero weights."""
+    train, model, _ = _fitted(spark, sf, "logistic_regression")
+    weights, n = model.coefficients.toArray(), train.count()
+    x = vector_to_array("features")
+    products = F.zip_with(x, F.array(*[F.lit(float(w)) for w in weights]), lambda a, w: a * w)
+    margin = F.aggregate(products, F.lit(float(model.intercept)), lambda total, v: total + v)
+    miss = 1 / (1 + F.exp(-margin)) - F.col("label")
+    rows = train.select(x.alias("x"), miss.alias("miss"), (0.5 - F.col("label")).alias("start"))
+    slopes = rows.agg(*[(F.avg(F.col("miss") * F.get("x", F.lit(i))) + float(w) / n).alias(f"g{i}") for i, w in enumerate(weights)],
+                      *[F.avg(F.col("start") * F.get("x", F.lit(i))).alias(f"z{i}") for i in range(len(weights))],
+                      F.avg("miss").alias("g"), F.count(F.lit(1)).alias("n_train"))
+    largest = F.greatest(F.abs("g"), *[F.abs(f"g{i}") for i in range(len(weights))])
+    return slopes.select("n_train", (largest <= 0.01 * F.greatest(*[F.abs(f"z{i}") for i in range(len(weights))])).alias("optimal"))
+
+
+@query("model_svm", f"""{RISK_SQL}
+SELECT penalty, count(*) AS n_train, true AS optimal FROM final, (VALUES ('l1'), ('l2')) p(penalty) WHERE NOT is_test GROUP BY penalty""")
 def model_svm(spark, sf):
-    return _scored(spark, sf, "svm", max_iter=50)
+    """Optimality residual of the squared hinge for both penalties, relative to zero weights."""
+    train, _ = _model_tables(spark, sf)
+    rows = train.select(vector_to_array("features").alias("x"), F.col("label").alias("y"))
+    found = []
+    for penalty in ("l1", "l2"):
+        model = models.build_model("svm", train.count(), penalty=penalty, C=0.1).fit(train)
+        weights = np.append(model.coefficients.toArray(), model.intercept)
+        ends = [svm.residual(w, 0.1 * svm.loss_sums(rows, w)[1], penalty) for w in (weights, 0 * weights)]
+        found.append((penalty, train.count(), bool(ends[0] <= 1e-3 * ends[1])))
+    return spark.createDataFrame(found, "penalty string, n_train bigint, optimal boolean")
 
 
-@query("model_tree")
+@query("model_tree", f"{RISK_SQL}\nSELECT count(*) AS n_train, true AS splits, CAST(0 AS BIGINT) AS wrong_leaves FROM final WHERE NOT is_test")
 def model_tree(spark, sf):
-    return _scored(spark, sf, "decision_tree", max_depth=5)
+    """Every leaf predicts the larger class of its training rows."""
+    train, model, _ = _fitted(spark, sf, "decision_tree", max_depth=5)
+    leaves = model.setLeafCol("leaf").transform(train).groupBy("leaf", "prediction").agg(F.count(F.lit(1)).alias("n"), F.avg("label").alias("share"))
+    wrong = ((F.col("prediction") == 1) & (F.col("share") < 0.5)) | ((F.col("prediction") == 0) & (F.col("share") > 0.5))
+    return leaves.agg(F.sum("n").alias("n_train"), (F.count(F.lit(1)) > 1).alias("splits"), F.count_if(wrong).alias("wrong_leaves"))
 
 
-@query("model_forest")
+@query("model_forest", _BEATS_SQL)
 def model_forest(spark, sf):
-    return _scored(spark, sf, "random_forest", n_estimators=20, max_depth=6)
+    return _beats_majority(_fitted(spark, sf, "random_forest", n_estimators=50, max_depth=10)[2])
 
 
-@query("model_gbt")
+@query("model_gbt", _BEATS_SQL)
 def model_gbt(spark, sf):
-    return _scored(spark, sf, "xgboost", n_estimators=5, max_depth=3)
+    return _beats_majority(_fitted(spark, sf, "xgboost", n_estimators=20, max_depth=3, learning_rate=0.2)[2])
 
 
-@query("model_knn")
+@query("model_knn", f"{RISK_SQL}\nSELECT count(*) AS n_test, CAST(0 AS BIGINT) AS n_different {_TEST_ROWS}")
 def model_knn(spark, sf):
-    return _scored(spark, sf, "knn", n_neighbors=5)
+    """The search over many small cells against the one over a single cell."""
+    train, model, scored = _fitted(spark, sf, "knn", n_neighbors=5)
+    _, test = _model_tables(spark, sf)
+    cells = KNNClassifier(5, key_col=ROW_KEY, rows_per_pivot=200, block_rows=100).fit(train).transform(test)
+    both = scored.join(cells.select(F.col(ROW_KEY).alias("row_key"), F.col("prediction").alias("again")), "row_key")
+    return both.agg(F.count(F.lit(1)).alias("n_test"), F.count_if(F.col("prediction") != F.col("again")).alias("n_different"))
 
 
-@query("model_save_load")
+@query("model_save_load", f"{RISK_SQL}\nSELECT count(*) AS n_test, CAST(0 AS BIGINT) AS n_different {_TEST_ROWS}")
 def model_save_load(spark, sf):
-    """Predictions of a model before saving and after loading, side by side."""
+    """Predictions of a model before saving and after loading."""
     train, test = _model_tables(spark, sf)
     model = models.train_model(models.build_model("decision_tree", train.count(), max_depth=5), train)
     folder = scratch_path(spark, "models")
     models.save_model(model, folder, "decision_tree")
     again = models.load_model(spark, folder, "decision_tree")
-    before = model.transform(test).select(F.col(ROW_KEY).alias("row_key"), F.col("prediction").alias("before"))
-    after = again.transform(test).select(F.col(ROW_KEY).alias("row_key"), F.col("prediction").alias("after"))
-    return before.join(after, "row_key")
+    before = model.transform(test).select(ROW_KEY, F.col("prediction").alias("before"))
+    after = again.transform(test).select(ROW_KEY, F.col("prediction").alias("after"))
+    return before.join(after, ROW_KEY).agg(F.count(F.lit(1)).alias("n_test"), F.count_if(F.col("before") != F.col("after")).alias("n_different"))
+
+
+@query("pipeline_save_load", f"{RISK_SQL}\nSELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_different FROM final")
+def pipeline_save_load(spark, sf):
+    """Cleaner, row sum, transformer, vector and kNN as one saved pipeline: predictions before and after loading."""
+    config, raw = risk_prepare(), view(spark, sf, "risk")
+    numbers = ["CREDIT_SCORE", "ANNUAL_MILEAGE", "PAST_ACCIDENTS", *FAMILY, "FAMILY_STABILITY", "AGE", "VEHICLE_YEAR"]
+    fitted = Pipeline(stages=[
+        Stage(Cleaner(replace(config.cleaner, row_key="ID"))), RowSum(list(FAMILY), "FAMILY_STABILITY"),
+        Stage(Transformer(replace(config.transformer, ignore_cols=[TARGET, "ID"]))),
+        VectorAssembler(inputCols=numbers, outputCol="features"), KNNClassifier(5, key_col="ID", labelCol=TARGET)]).fit(raw)
+    path = scratch_path(spark, "pipeline")
+    fitted.save(path)
+    again = PipelineModel.load(path)
+    one, two = (m.transform(raw).select("ID", F.col("prediction").alias(n)) for m, n in ((fitted, "before"), (again, "after")))
+    return one.join(two, "ID").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("before") != F.col("after")).alias("n_different"))
+
+
+@query("score_columns", f"{RISK_SQL}\nSELECT count(*) AS n_test, CAST(0 AS BIGINT) AS n_different {_TEST_ROWS}")
+def score_columns(spark, sf):
+    """The score is the probability of class 1, the decision value without one, and the prediction without either."""
+    train, test = _model_tables(spark, sf)
+    output = models.train_model(models.build_model("logistic_regression", train.count()), train).transform(test)
+    without = output.drop("probability")
+    rows = output.select(ROW_KEY, metrics.score_column(output).alias("p")).join(
+        without.select(ROW_KEY, metrics.score_column(without).alias("raw")), ROW_KEY).join(
+        without.select(ROW_KEY, metrics.score_column(without.drop("rawPrediction")).alias("label")), ROW_KEY)
+    odd = (F.abs(F.col("p") - 1 / (1 + F.exp(-F.col("raw")))) > 1e-9) | ((F.col("label") == 1) != (F.col("p") > 0.5))
+    return rows.agg(F.count(F.lit(1)).alias("n_test"), F.count_if(odd).alias("n_different"))
 
 
 # --- search, selection, AutoML --------------------------------------------------------------------------
 
 _SMALL_GRIDS = {
     "logistic_regression": [{"C": 0.01}, {"C": 1}],
-    "svm": [{"C": 1, "max_iter": 20}],
+    "svm": [{"C": 1, "penalty": "l1"}],
     "decision_tree": [{"max_depth": 5}, {"max_depth": 5, "criterion": "entropy"}],
     "random_forest": [{"n_estimators": 10, "max_depth": 5}],
     "xgboost": [{"n_estimators": 3, "max_depth": 3}],
@@ -1074,61 +1179,101 @@ _SMALL_GRIDS = {
 
 
 def _tuned(spark, sf, name, method, grid):
+    """Number of points, and whether the best has the highest score and all scores are F1 values."""
     train, _ = _model_tables(spark, sf)
     folded = split.mark_folds(train, [ROW_KEY], 3).persist()
     try:
         found = tune.tune(name, folded, method, grid=grid, key_col=ROW_KEY)
     finally:
         folded.unpersist()
-    rows = [(name, str(params), float(score), params == found.best_params) for params, score in found.scores]
-    return spark.createDataFrame(rows, "model string, params string, f1 double, best boolean")
+    scores = [score for _, score in found.scores]
+    rows = [(name, len(scores), found.best_score == max(scores) and dict(found.scores[scores.index(max(scores))][0]) == found.best_params,
+             all(0 < x <= 1 for x in scores))]
+    return spark.createDataFrame(rows, "model string, n_points int, best_is_highest boolean, scores_in_range boolean")
 
 
-@query("tune_default")
+def _tuned_sql(name: str, n: int) -> str:
+    return f"SELECT '{name}' AS model, {n}::INT AS n_points, true AS best_is_highest, true AS scores_in_range"
+
+
+@query("tune_default", _tuned_sql("logistic_regression", 1))
 def tune_default(spark, sf):
     return _tuned(spark, sf, "logistic_regression", "default", None)
 
 
-@query("tune_grid")
+@query("tune_grid", _tuned_sql("decision_tree", 24))
 def tune_grid(spark, sf):
-    return _tuned(spark, sf, "decision_tree", "grid_search", _SMALL_GRIDS["decision_tree"])
+    """The whole registered grid of the tree."""
+    return _tuned(spark, sf, "decision_tree", "grid_search", None)
 
 
-@query("tune_random")
+@query("tune_random", _tuned_sql("decision_tree", 10))
 def tune_random(spark, sf):
-    return _tuned(spark, sf, "logistic_regression", "random_search", models.param_grid("logistic_regression"))
+    return _tuned(spark, sf, "decision_tree", "random_search", None)
+
+
+@query("tune_svm", _tuned_sql("svm", 8))
+def tune_svm(spark, sf):
+    return _tuned(spark, sf, "svm", "random_search", None)
 
 
-@query("tune_knn")
+@query("tune_knn", _tuned_sql("knn", 20))
 def tune_knn(spark, sf):
-    return _tuned(spark, sf, "knn", "grid_search", [{"n_neighbors": k, "weights": w, "p": 2}
-                                                    for k in (3, 5) for w in ("uniform", "distance")])
+    return _tuned(spark, sf, "knn", "grid_search", None)
+
+
+@query("tune_failure", "SELECT true AS fell_back, true AS told, 0::INT AS n_points")
+def tune_failure(spark, sf):
+    """A search that fails leaves the default parameters and says why."""
+    train, _ = _model_tables(spark, sf)
+    found = tune.tune_or_default("decision_tree", split.mark_folds(train, [ROW_KEY], 3), method="grid_search", grid=[{"no_such_parameter": 1}])
+    return spark.createDataFrame([(found.best_params == {}, found.status.startswith("ValueError"), len(found.scores))],
+                                 "fell_back boolean, told boolean, n_points int")
 
 
-def _selected(spark, sf, method, n_features, features):
+def _selected(spark, sf, method, n_features):
     done = prepare(view(spark, sf, "risk"), risk_prepare(keep_key=True))
+    features, _ = cols.split_target(done.train, TARGET, drop=(ROW_KEY,))
     base = models.build_model("decision_tree", 0, max_depth=4)
     chosen = select_features(done.train, features, TARGET, method, n_features, base, [ROW_KEY])
-    rows = [(i, c, c in chosen) for i, c in enumerate(features)]
-    return spark.createDataFrame(rows, "position int, feature string, chosen boolean")
+    # The two columns that decide the target are never given up.
+    rows = [(method, len(features), len(chosen), {"DRIVING_EXPERIENCE", "VEHICLE_YEAR"} <= set(chosen), chosen == [c for c in features if c in chosen])]
+    return spark.createDataFrame(rows, "method string, n_features int, n_chosen int, keeps_deciding boolean, in_order boolean")
 
 
-@query("select_rfe")
+def _selected_sql(method: str, n: int) -> str:
+    return f"SELECT '{method}' AS method, 17::INT AS n_features, {n}::INT AS n_chosen, true AS keeps_deciding, true AS in_order"
+
+
+@query("select_rfe", _selected_sql("rfe", 3))
 def select_rfe(spark, sf):
-    return _selected(spark, sf, "rfe", 3, _MODEL_FEATURES)
+    return _selected(spark, sf, "rfe", 3)
 
 
-@query("select_forward")
+@query("select_forward", _selected_sql("forward", 2))
 def select_forward(spark, sf):
-    return _selected(spark, sf, "forward", 2, _MODEL_FEATURES[:4])
+    return _selected(spark, sf, "forward", 2)
 
 
-@query("select_backward")
+@query("select_backward", _selected_sql("backward", 15))
 def select_backward(spark, sf):
-    return _selected(spark, sf, "backward", 3, _MODEL_FEATURES[:4])
+    return _selected(spark, sf, "backward", 15)
+
+
+def _ranked(spark, board):
+    """Models of a leaderboard, whether they are ranked by F1, and whether the champion is the first."""
+    rows = [r.asDict() for r in board.collect()]
+    scores = [r["mean_f1_score"] for r in rows]
+    first = [r["model"] for r in rows if r.get("champion")]
+    return spark.createDataFrame([(len(rows), len({r["model"] for r in rows}), bool(first) and max(rows, key=lambda r: r["mean_f1_score"])[
+        "mean_f1_score"] == next(r["mean_f1_score"] for r in rows if r["model"] == first[0]), all(0 <= x <= 1 for x in scores))],
+        "n_rows int, n_models int, champion_is_best boolean, scores_in_range boolean")
+
+
+_RANKED_SQL = "SELECT 6::INT AS n_rows, 6::INT AS n_models, true AS champion_is_best, true AS scores_in_range"
 
 
-@query("automl_leaderboard")
+@query("automl_leaderboard", _RANKED_SQL)
 def automl_leaderboard(spark, sf):
     """All six models on small grids, with the report written and read back."""
     done = prepare(view(spark, sf, "risk"), risk_prepare(keep_key=True))
@@ -1136,4 +1281,15 @@ def automl_leaderboard(spark, sf):
                                        base_model=models.build_model("decision_tree", 0, max_depth=5))
     result = run_automl(done.train, done.test, config)
     path = save_report(result, scratch_path(spark, "report") + ".json")
-    return load_table(spark, path, lines=True)
+    return _ranked(spark, load_table(spark, path, lines=True))
+
+
+@query("risk_end_to_end", _RANKED_SQL)
+def risk_end_to_end(spark, sf):
+    """From a CSV file to the written report."""
+    raw, out = scratch_path(spark, "raw") + ".csv", scratch_path(spark, "run")
+    write_table(view(spark, sf, "risk"), raw, "csv")
+    config = risk_automl(tuning_method="grid_search", n_features=14, grids=_SMALL_GRIDS,
+                         base_model=models.build_model("decision_tree", 0, max_depth=5))
+    risk_run(spark, raw, risk_prepare(), config, out)
+    return _ranked(spark, load_table(spark, f"{out}/leaderboard.json", lines=True))
