@@ -10,17 +10,20 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import sys
 from array import array
 
 import numpy as np
 import regex
 
-WORDS = 800_000  # pieces kept per worker; beyond it the memory starts anew
+WORDS = 200_000  # pieces kept per generation; a worker holds two
 
 # The pattern of byte-level tokenizers that do not carry one in their file.
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+LATIN = re.compile("[\\x00-\u024f]+")
+
 _loaded: dict[str, Encoder] = {}
 
 
@@ -33,16 +36,28 @@ def _byte_letters() -> list[str]:
 
 
 class _Known(dict):
-    """Ids, as little-endian bytes, of pieces; a missing one is encoded."""
+    """Ids, as little-endian bytes, of pieces; a missing one is encoded.
+
+    When a generation is full it becomes the old one, and only pieces that come up again move over, so that the memory stays bounded
+    and frequent pieces stay known.
+    """
 
     def __init__(self, encode):
         super().__init__()
-        self.encode = encode
+        self.encode, self.old = encode, {}
 
     def __missing__(self, piece):
-        ids = self[piece] = self.encode(piece)
+        ids = self.old.pop(piece, None)
+        if ids is None:
+            ids = self.encode(piece)
+        self[piece] = ids
         return ids
 
+    def turn(self) -> None:
+        if len(self) > WORDS:
+            self.old = dict(self)
+            self.clear()
+
 
 class Encoder:
     """Ids of texts as bytes of ``dtype`` (unsigned, little-endian, 2 bytes if the vocabulary allows)."""
@@ -84,7 +99,11 @@ class Encoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
     def _model_ids(self, part: str) -> bytes:
-        ids = array(self.code, [t.id for t in self.model.tokenize(part.encode().decode("latin-1").translate(self.letters))])
+        if part.isascii():  # visible bytes stand for themselves
+            letters = "\u0120" + part[1:] if part[0] == " " else part
+        else:
+            letters = part.encode().decode("latin-1").translate(self.letters)
+        ids = array(self.code, [t.id for t in self.model.tokenize(letters)])
         if sys.byteorder == "big":
             ids.byteswap()
         return ids.tobytes()
@@ -93,10 +112,19 @@ class Encoder:
         if not piece:
             return b""
         if self.lower:
-            piece = piece.lower() if piece.isascii() else self.tokenizer.normalizer.normalize_str(piece)
-        if not piece[1 if piece[0] == " " else 0:].isprintable():  # characters that two pattern engines may class differently
+            # In these ranges every letter is composed already, and lower case does not depend on the letters around.
+            folded = piece.lower() if piece.isascii() or LATIN.fullmatch(piece) else self.tokenizer.normalizer.normalize_str(piece)
+            if folded != piece:
+                return self.rest[folded]
+        core = piece[1:] if self.blank and piece[0] == " " else piece
+        if core.isalpha():
+            return self._model_ids(piece)
+        if not core or not core.isprintable():  # characters that two pattern engines may class differently
             return self._whole(piece)
-        parts = self.pattern.findall(piece)
+        if core[-1] in ".,;:!?" and core[:-1].isalpha():
+            parts = [piece[:-1], piece[-1]]
+        else:
+            parts = self.pattern.findall(piece)
         if len(parts) == 1:
             return self._model_ids(parts[0])
         return b"".join([self.rest[p[1:]] if p[0] == " " else self.first[p] for p in parts])
@@ -105,9 +133,8 @@ class Encoder:
         """Ids of the whole text."""
         if self.blank is None:
             return self._whole(text)
-        if len(self.rest) + len(self.first) > WORDS:
-            self.rest.clear()
-            self.first.clear()
+        self.rest.turn()
+        self.first.turn()
         if not self.blank:  # white space never reaches a token
             return b"".join(map(self.rest.__getitem__, text.replace("\n", " ").split(" ")))
         out, rest, first = [], self.rest, self.first
