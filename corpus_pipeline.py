@@ -31,13 +31,17 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each group; of rows with the same id, one."""
-    found = simhash.near_duplicates(docs)
-    chosen = found.where(F.col("id").eqNullSafe(F.col("component"))).groupBy("id").agg(F.count("*").alias("rows"))
-    chosen = materialise(chosen, "chosen")
-    kept = docs.join(chosen.select("id"), F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
-    if (chosen.agg(F.max("rows")).first()[0] or 1) > 1:
-        kept = kept.dropDuplicates(["doc_id"])
+    """The document of the smallest id of each group; of rows with the same id, one. Rows without an id stay.
+
+    The documents that go are the fewer ones, so the join is against them: Spark broadcasts their ids while they are small, and the
+    texts move only beyond that.
+    """
+    found = materialise(simhash.near_duplicates(docs).where("id IS NOT NULL"), "groups")
+    gone = materialise(found.where("id != component").select("id").distinct(), "gone")
+    kept = docs.join(gone, F.col("doc_id") == F.col("id"), "left_anti")
+    if (found.groupBy("id").count().agg(F.max("count")).first()[0] or 1) > 1:
+        known = kept.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
+        kept = known.unionByName(kept.where("doc_id IS NULL"))
     return kept.select(*COLUMNS)
 
 
