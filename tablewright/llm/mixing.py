@@ -15,9 +15,11 @@ steps of all sources run side by side as an expression over the table of sources
 Copies: each document gets the whole part of its rate. The rest of a target is reached by documents in the order of a
 hash: those below a threshold get one copy more (or, for large parts, those above it). The threshold comes from histograms of the hash weighted by size, refined
 around the point where the missing tokens are reached, so no group of rows is ever sorted or gathered; a source with a
-third of all rows is many bins. A few last documents, each the largest that still fits, close the gap that is left.
+third of all rows is many bins. A threshold stops at the first document that does not fit; the gap is closed by the documents behind it
+that do, the largest one or, where many are needed, a threshold over them, until none fits.
 
-Everything is DataFrame expressions and aggregates; documents are scanned, never shuffled with their text.
+Everything is DataFrame expressions and aggregates. Documents are scanned; those that close the gaps are joined by their hashes,
+broadcast while they are few, and the text moves only beyond that.
 """
 
 from __future__ import annotations
@@ -32,7 +34,6 @@ from tablewright.session import materialise, release
 
 BITS = 12  # of the hash, per histogram pass
 HASH_BITS = 60
-LAST_PICKS = 6  # rounds that close the gap left by the threshold
 
 
 def source_weights(totals: DataFrame, weights: Sequence[float]) -> DataFrame:
@@ -134,29 +135,47 @@ def _threshold(docs: DataFrame, sources: DataFrame) -> DataFrame:
     return done
 
 
-def _last_picks(docs: DataFrame, sources: DataFrame) -> DataFrame:
-    """Add ``picks``: hashes of documents above the threshold that get a copy to close the gap, largest fitting first."""
-    state = sources.withColumn("gap", F.floor(F.col("missing") - F.col("reached"))).withColumn(
-        "picks", F.array().cast("array<bigint>"))
-    state = materialise(state, "mix-state")
-    for _ in range(LAST_PICKS):
-        fits = docs.join(state.select("source_key", "gap", "below", "picks"), "source_key").where(
-            (F.col("hash") >= F.col("below")) & (F.col("size") > 0) & (F.col("size") <= F.col("gap"))
-            & ~F.array_contains("picks", F.col("hash")))
-        # Repeated rows share a hash and are taken together, so the group has to fit.
-        groups = fits.groupBy("source_key", "hash").agg(F.sum("size").alias("tokens"), F.first("gap").alias("gap")).where(
-            F.col("tokens") <= F.col("gap"))
-        best = groups.groupBy("source_key").agg(F.max(F.struct("tokens", "hash")).alias("best"))
-        found = materialise(state.join(best, "source_key", "left").select(
-            *[c for c in state.columns if c not in ("gap", "picks")],
-            (F.col("gap") - F.coalesce("best.tokens", F.lit(0))).alias("gap"),
-            F.when(F.col("best").isNull(), F.col("picks")).otherwise(F.array_append("picks", F.col("best.hash"))).alias("picks"),
-            F.col("best").isNotNull().alias("moved")), "mix-state")
+def _close_gaps(docs: DataFrame, dealt: DataFrame) -> DataFrame:
+    """``source_key`` and ``hash`` of the documents above the threshold that get a copy too, until none that is left fits the gap.
+
+    In each round a source whose largest fitting document fills more than half of its gap takes that one. Any other takes a
+    threshold over the documents that fit, which passes over those that do not; what it leaves is less than one of these documents.
+    So a round halves the gap at least, or takes all there is, and the rounds are as many as the gap has bits.
+    """
+    # Repeated rows share a hash and are taken together, so the group has to fit.
+    gaps = dealt.select("source_key", "below", F.floor(F.col("missing") - F.col("reached")).alias("gap"))
+    left = materialise(
+        docs.join(gaps, "source_key").where((F.col("hash") >= F.col("below")) & (F.col("size") > 0) & (F.col("size") <= F.col("gap")))
+        .groupBy("source_key", "hash").agg(F.sum("size").alias("size"), F.first("gap").alias("gap"))
+        .where(F.col("size") <= F.col("gap")).withColumn("taken", F.lit(False)), "mix-left")
+    steps = [left]
+    while steps[-1].agg(F.max(~F.col("taken"))).first()[0]:
+        left = steps[-1].where(~F.col("taken")).drop("taken")
+        state = materialise(left.groupBy("source_key").agg(
+            F.first("gap").alias("missing"), F.max(F.struct("size", "hash")).alias("top")), "mix-state")
+        many = F.col("top.size") * 2 <= F.col("missing")
+        ends = state.select("source_key", F.when(~many, F.col("top")).alias("top"), F.lit(0).cast("long").alias("below"),
+                            (F.col("missing") - F.col("top.size")).alias("rest"))
+        found = None
+        if state.agg(F.max(many)).first()[0]:
+            found = _threshold(left.drop("gap"), state.where(many).drop("top"))
+            ends = ends.where("top IS NOT NULL").unionByName(found.select(
+                "source_key", F.lit(None).cast(ends.schema["top"].dataType).alias("top"), "below",
+                (F.col("missing") - F.col("reached")).alias("rest")))
+        taken = F.coalesce(F.col("hash") == F.col("top.hash"), F.col("hash") < F.col("below"))
+        steps.append(materialise(left.join(ends, "source_key").select(
+            "source_key", "hash", "size", F.col("rest").alias("gap"), taken.alias("taken"))
+            .where(F.col("taken") | (F.col("size") <= F.col("gap"))), "mix-left"))
         release(state)
-        state = found.drop("moved")
-        if not found.agg(F.max("moved")).first()[0]:
-            break
-    return state
+        if found is not None:
+            release(found)
+    chosen = steps[0].where("taken")
+    for step in steps[1:]:
+        chosen = chosen.unionByName(step.where("taken"))
+    chosen = materialise(chosen.select("source_key", "hash"), "mix-chosen")
+    for step in steps:
+        release(step)
+    return chosen
 
 
 def mix_sources(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
@@ -190,8 +209,12 @@ def mix_sources(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     needed = rated.withColumn("flip", part > 0.5).select("source_key", "source_size", "target", "rate", "flip", F.when(
         part == 0, 0.0).when(F.col("flip"), F.col("source_size") - above).otherwise(above).alias("missing"))
     small = docs.select("source_key", "size", "hash")
-    dealt = _last_picks(small, _threshold(small, needed))
-    picked = (F.col("hash") < F.col("below")) | F.array_contains("picks", F.col("hash"))
+    dealt = _threshold(small, needed)
+    chosen = _close_gaps(small, dealt).withColumn("chosen", F.lit(True))
+    # Documents without words have no gap to fit: the share of the hashes alone decides.
+    share = F.when(F.col("flip"), F.lit(1.0) - part).otherwise(part)
+    picked = F.when(F.col("size") == 0, F.col("hash") < share * F.lit(float(1 << HASH_BITS))).otherwise(
+        (F.col("hash") < F.col("below")) | F.col("chosen").isNotNull())
     extra = (F.col("rate") != F.floor("rate")) & (picked != F.col("flip"))
-    return (docs if slim else measured).drop("source").join(dealt, "source_key").select(
+    return (docs if slim else measured).drop("source").join(dealt, "source_key").join(chosen, ["source_key", "hash"], "left").select(
         "row", "size", "source_size", "target", "rate", (F.floor("rate") + extra.cast("int")).cast("int").alias("copies"))

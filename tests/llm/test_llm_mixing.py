@@ -57,6 +57,27 @@ def test_capped_sources_and_a_hot_one(make):
     assert {r["copies"] for r in got if r["source"] == "a"} == {3}
 
 
+@pytest.mark.parametrize("repeats", [1, 3])
+def test_one_dominant_document_among_short_ones(make, repeats):
+    long = [(i, "w " * 100_000, "en", "b") for i in range(1)] + [(i, "w " * 100, "en", "b") for i in range(1, 1001)]
+    rows = ([(5000 + i, "w " * 100, "en", "a") for i in range(1500)] + long) * repeats
+    got = taken(make(rows))
+    agree(got, rows, 100 * repeats)
+    assert {r["copies"] for r in got if r["size"] == 100_000} == {0}
+
+
+def test_gaps_close_until_nothing_fits(make):
+    sizes = [20_000, 9_000, 4_000] * 3 + [1 + i * 7 % 40 for i in range(900)]
+    rows = [(i, "w " * n, "en", "b") for i, n in enumerate(sizes)] + [(5000 + i, "w " * (1 + i % 90), "en", "a") for i in range(1700)]
+    rows += [(9000 + i, " ", "en", "b") for i in range(400)]
+    got = taken(make(rows))
+    agree(got, rows, 1)
+    b = [r for r in got if r["source"] == "b"]
+    rate = b[0]["rate"]
+    blank = [r["copies"] for r in b if not r["size"]]
+    assert abs(sum(blank) / len(blank) - rate) < 0.1
+
+
 def test_edges(make, edge):
     rows = [(i, t, "en", s) for k, (i, t) in enumerate(edge) for s in [(None, "a", "b", "only blanks")[k % 3]]] + [(70, "  ", "en", "only blanks"), (71, None, "en", "only blanks")]
     got = taken(make(rows))
