@@ -2,8 +2,9 @@
 
 A text is cut at single blanks and line feeds between words, where no token of these tokenizers can cross, and the ids of the pieces
 are looked up. A piece that is not known yet is cut by the tokenizer's own pattern, and its parts go through the tokenizer's model.
-Texts with other white space, and tokenizers of another build, go through ``Tokenizer.encode`` whole. Either way the ids are those of
-``Tokenizer.encode`` with ``add_special_tokens=False`` and special tokens' strings taken as ordinary text.
+Texts with other white space or with the string of an added token, and tokenizers of another build, go through ``Tokenizer.encode``
+whole. Either way the ids are those of ``Tokenizer.encode`` with ``add_special_tokens=False``: a special token's string in a text is its
+single id. ``Encoder(path)`` by itself takes these strings as ordinary text (the library's ``encode_special_tokens``); the operators use ``encoder``.
 """
 
 from __future__ import annotations
@@ -60,18 +61,24 @@ class _Known(dict):
 
 
 class Encoder:
-    """Ids of texts as bytes of ``dtype`` (unsigned, little-endian, 2 bytes if the vocabulary allows)."""
+    """Ids of texts as bytes of ``dtype`` (unsigned, little-endian, 2 bytes if the vocabulary allows).
 
-    def __init__(self, path: str):
+    With ``specials``, the strings of special tokens are these tokens, as by the library's default; else they are ordinary text.
+    """
+
+    def __init__(self, path: str, specials: bool = False):
         from tokenizers import Tokenizer
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size(True) <= 1 << 16 else "<u4")
         with open(path, encoding="utf-8") as source:
             plan = json.load(source)
-        self.blank = self._blank(plan)
+        added = plan.get("added_tokens") or []
+        self.specials = [t["content"] for t in added if t["content"]] if specials else []
+        self.blank = self._blank(plan) if all(t["special"] and not t["normalized"] for t in added) else None
+        # Pieces are parts of texts without added tokens, and folding must not make one of them.
+        self.tokenizer.encode_special_tokens = not specials or self.blank is not None
         if self.blank is not None:
             self.letters = str.maketrans({b: c for b, c in enumerate(_byte_letters()) if chr(b) != c})
             self.model, self.code = self.tokenizer.model, "H" if self.dtype.itemsize == 2 else "I"
@@ -133,6 +140,12 @@ class Encoder:
         """Ids of the whole text."""
         if self.blank is None:
             return self._whole(text)
+        if any(t in text for t in self.specials):
+            self.tokenizer.encode_special_tokens = False
+            try:
+                return self._whole(text)
+            finally:
+                self.tokenizer.encode_special_tokens = True
         self.rest.turn()
         self.first.turn()
         if not self.blank:  # white space never reaches a token
@@ -152,5 +165,5 @@ class Encoder:
 def encoder(path: str) -> Encoder:
     """The worker's encoder for a tokenizer file, loaded once."""
     if path not in _loaded:
-        _loaded[path] = Encoder(path)
+        _loaded[path] = Encoder(path, specials=True)
     return _loaded[path]

@@ -48,6 +48,13 @@ def test_empty_table(make):
     assert packing.pack_documents(make([]), PATH, 0).collect() == []
 
 
+def test_special_tokens_as_by_an_unchanged_tokenizer(make):
+    unchanged = Tokenizer.from_file(PATH)
+    rows = [(1, "a <|endoftext|> b"), (2, "<|endoftext|>"), (3, "plain"), (4, "<|endoftext|> word" * 30)]
+    got = {(r["id"], r["start"]): np.frombuffer(r["ids"], "<u2").tolist() for r in packing.pack_documents(make(rows), PATH, 0).collect()}
+    assert got == {(i, 0): unchanged.encode(t, add_special_tokens=False).ids + [0] for i, t in rows}
+
+
 def test_pieces_of():
     assert packing.pieces_of(5, 4) == [(0, 1), (1, 4)]
     assert packing.pieces_of(8, 4) == [(0, 4), (4, 4)]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tablewright.llm import records
-from tablewright.llm.encode import Encoder
+from tablewright.llm.encode import Encoder, encoder
 
 FILES = ("word_bpe_49k.json", "byte_bpe_50k.json")
 
@@ -44,6 +44,28 @@ def test_encoder_equals_the_library(name, rows_of, sf_dir, edge):
         assert np.frombuffer(words.encode(text or ""), words.dtype).tolist() == encode(text), repr(text)[:80]
 
 
+SPECIALS = ["<|endoftext|>", "a <|endoftext|> b", "<|startoftext|>x<|endoftext|>", "\n<|endoftext|>\n", "<|EndOfText|> \x00", "<|EndOfText|>\x00<|endoftext|>",
+            "x<|endoftext|", "plain text", "  two <|startoftext|>  blanks é", "it's <|EndOfText|> 漢\x1c", "plain <|end oftext|>"]
+
+
+@pytest.mark.parametrize("name", FILES)
+def test_special_tokens_as_by_an_unchanged_tokenizer(name):
+    unchanged, words = Tokenizer.from_file(public_tokenizers.path(name)), encoder(public_tokenizers.path(name))
+    for text in SPECIALS * 2:
+        assert np.frombuffer(words.encode(text), words.dtype).tolist() == unchanged.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_records_of_texts_with_special_tokens(spark, make, tmp_path):
+    unchanged = Tokenizer.from_file(public_tokenizers.path(FILES[0]))
+    records.write_records(make(list(enumerate(SPECIALS))), str(tmp_path / "s"), public_tokenizers.path(FILES[0]), 1)
+    want, start = [], 0
+    for i, text in enumerate(SPECIALS):
+        ids = unchanged.encode(text, add_special_tokens=False).ids + [1]
+        want.append((i, start, ids))
+        start += len(ids)
+    assert sorted((tuple(r) for r in records.read_records(spark, str(tmp_path / "s")).collect()), key=lambda r: r[1]) == want
+
+
 @pytest.mark.parametrize("file_bytes", [1 << 30, 20_000])
 def test_round_trip(spark, make, edge, rows_of, sf_dir, tmp_path, file_bytes):
     rows = [r[:2] for r in rows_of(sf_dir)[50:]] + edge
