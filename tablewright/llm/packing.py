@@ -58,10 +58,11 @@ def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
-def local_search(bins: list[list[int]], lengths: list[int], capacity: int, max_moves: int = 5_000, tries: int = 6) -> list[list[int]]:
+def local_search(bins: list[list[int]], lengths: list[int], capacity: int, max_moves: int | None = None, tries: int | None = None) -> list[list[int]]:
     """Empty bins by moves that raise the sum of squared fills.
 
-    It ends at the lower bound, after ``tries`` bins that could not be emptied, or after ``max_moves``; all items stay packed.
+    It ends at the lower bound, or when every bin was tried since the last one was emptied; all items stay packed. ``tries`` bins that
+    could not be emptied, or ``max_moves``, end it before. Every move raises the sum of squares, so it ends without them.
 
     The bin to empty, and the others, hold these as arrays: sizes of all documents of the other underfull bins, and the room there.
     """
@@ -70,24 +71,28 @@ def local_search(bins: list[list[int]], lengths: list[int], capacity: int, max_m
     least = -(-int(size.sum()) // capacity)
     full = [b for b, f in zip(bins, fill) if f == capacity]
     open_ = sorted((b for b, f in zip(bins, fill) if f < capacity), key=lambda b: size[b].sum())
-    kept: list[list[int]] = []
-    moves = 0
-    while open_ and len(full) + len(kept) + len(open_) > least and moves < max_moves and len(kept) < tries:
+    kept: list[list[int]] = []  # could not be emptied; they still take documents
+    moves, failed, emptied = 0, 0, False
+    max_moves = float("inf") if max_moves is None else max_moves
+    tries = float("inf") if tries is None else tries
+    while len(full) + len(kept) + len(open_) > least and moves < max_moves and failed < tries:
+        if not open_:
+            if not emptied:
+                break
+            open_, kept, emptied = sorted(kept, key=lambda b: size[b].sum()), [], False
+            continue
         mine = open_.pop(0)
         my_fill = int(size[mine].sum())
-        others = open_
+        others = open_ + kept
         owner = np.repeat(np.arange(len(others)), [len(b) for b in others])
         items = np.array([i for b in others for i in b], np.int64)
         room = capacity - np.array([size[b].sum() for b in others], np.int64)
-        if room.sum() < my_fill:
-            kept.append(mine)
-            break
         own_size = size[items]
         while mine and moves < max_moves:
             moves += 1
             best = None  # (gain, given, owner or place of the document taken)
             for i in mine:
-                fits = np.flatnonzero(room >= size[i])
+                fits = np.flatnonzero((room >= size[i]) & (capacity - room + size[i] > my_fill))
                 if len(fits):
                     k = int(fits[np.argmin(room[fits])])
                     if best is None or size[i] > best[0]:
@@ -118,9 +123,15 @@ def local_search(bins: list[list[int]], lengths: list[int], capacity: int, max_m
             own_size = size[items]
             room[to] -= gain
             my_fill -= gain
+        closed = {id(b) for b, r in zip(others, room) if not r}
+        full += [b for b in others if id(b) in closed]
+        open_ = sorted((b for b in open_ if id(b) not in closed), key=lambda b: size[b].sum())
+        kept = [b for b in kept if id(b) not in closed]
         if mine:
             kept.append(mine)
-        open_ = sorted(others, key=lambda b: size[b].sum())
+            failed += 1
+        else:
+            emptied = True
     return [b for b in full + kept + open_ if b]
 
 

@@ -79,3 +79,13 @@ def test_local_search_empties_bins(high):
     assert max(fills) <= 2048 and len(better) < len(bins) and sum(f * f for f in fills) > squares
     assert len(better) <= -(-sum(lengths) // 2048) + 1
     assert len(packing.pack(lengths, 2048)) <= len(better)
+
+
+def test_search_goes_on_where_best_fit_is_poor():
+    rng = random.Random(1)
+    lengths = [rng.randint(400, 900) for _ in range(600)]
+    start = packing.best_fit(lengths, 2048)
+    got = packing.pack(lengths, 2048)
+    assert sorted(i for b in got for i in b) == list(range(len(lengths)))
+    assert max(sum(lengths[i] for i in b) for b in got) <= 2048
+    assert len(start) == 206 and len(got) <= 197 and -(-sum(lengths) // 2048) == 192
