@@ -2,9 +2,9 @@
 
 A common word is an anchor. Its signature is the anchor with the next ``2`` content words (common words between them are passed
 over); where several common words stand in a row, the last is the anchor. The fingerprint of a text is the set of its signatures,
-written as ascending 32-bit hashes. Two fingerprints are compared by the Jaccard similarity of their sets. Sets are
-partitioned by their length, so that sets of similarity ``at_least`` lie in the same or in neighbouring partitions; a pair
-of sets whose lengths rule the similarity out is not intersected.
+written as ascending 32-bit hashes. Two fingerprints are compared by the Jaccard similarity of their sets. The
+operator compares given pairs and searches for none: ``length_partition``, by which sets of similarity ``at_least`` lie in the same or in
+neighbouring partitions, is there for a caller, and pairs are not pruned unless ``at_least`` is given.
 
 A text in which no common word is followed by two content words has every three words in a row as signatures; with
 fewer words, their sequence; without a word, its characters; and the empty text has the empty set.
