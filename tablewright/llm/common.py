@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -39,6 +40,18 @@ def batch_rows(spark: SparkSession, rows: int) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, rows: int):
+    """Arrow batches of at most ``rows`` rows in the jobs run inside the block; the caller's setting afterwards."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def filesystem(path: str) -> tuple[pafs.FileSystem, str]:
     """File system and path within it, for ``file:``, ``hdfs:``, ``s3:`` and other schemes that Arrow opens."""
     if path.startswith("file:"):

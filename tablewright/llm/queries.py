@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import bytecnn, language, line_dedup, mixing, packing, records, rules, simhash, spots, warczip
+from tablewright.llm import bytecnn, language, line_dedup, mixing, packing, postings, records, rules, simhash, spots, warczip
 from tablewright.llm.common import fold_key, table
 from tablewright.session import scratch_path
 
@@ -69,6 +69,13 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("row.doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = postings.build_index(table(spark, sf_dir, "documents"))
+    found = postings.contamination(index, table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_language": op2_language,
@@ -80,6 +87,7 @@ QUERIES = {
     "op8_byte_cnn": op8_byte_cnn,
     "op9_simhash": op9_simhash,
     "op10_mix_sources": op10_mix_sources,
+    "op11_decontamination": op11_decontamination,
 }
 
 ORACLES: dict[str, str] = {
@@ -110,4 +118,31 @@ SELECT page_id, payload_bytes, payload_digest,
   CASE WHEN payload_bytes >= 100 AND page_id > first_id THEN 'revisit' ELSE 'response' END AS record_type,
   CASE WHEN payload_bytes >= 100 AND page_id > first_id THEN first_id END AS refers_to
 FROM firsts""",
+    "op11_decontamination": r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+items AS (
+  SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+sized AS (
+  SELECT item, w, least(len(w), 10) AS n, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM items WHERE len(w) > 0),
+windows AS (
+  SELECT DISTINCT item, n, array_to_string(w[i:i + n - 1], ' ') AS phrase FROM sized),
+lengths AS (
+  SELECT DISTINCT n FROM windows),
+places AS (
+  SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM docs, lengths WHERE len(w) >= n),
+hits AS (
+  SELECT p.r, p.i, p.n, w.item
+  FROM (SELECT r, n, i, array_to_string(w[i:i + n - 1], ' ') AS phrase FROM places) p JOIN windows w USING (n, phrase)),
+covered AS (
+  SELECT r, count(DISTINCT place) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS place FROM hits) GROUP BY r),
+found AS (
+  SELECT r, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS items_sha256 FROM (SELECT DISTINCT r, item FROM hits) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN covered USING (r) LEFT JOIN found USING (r)""",
 }
