@@ -6,9 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import bytecnn, language, line_dedup, mixing, packing, postings, records, rules, simhash, spots, warczip
+from tablewright.llm import bytecnn, language, line_dedup, mixing, packing, postings, prefix_trie, records, rules, simhash, spots, warczip
 from tablewright.llm.common import fold_key, table
-from tablewright.session import scratch_path
+from tablewright.session import materialise, scratch_path
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,6 +76,13 @@ def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conv = F.col("conv_id")
+    own = materialise(prefix_trie.conversations(table(spark, sf_dir, "conversations")), "conversations")
+    rebuilt = prefix_trie.with_heads(own, base=conv - conv % 20, n_turns=F.crc32(conv.cast("string")) % 4, most=3)
+    return prefix_trie.prefix_trie(rebuilt)
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_language": op2_language,
@@ -88,6 +95,7 @@ QUERIES = {
     "op9_simhash": op9_simhash,
     "op10_mix_sources": op10_mix_sources,
     "op11_decontamination": op11_decontamination,
+    "op12_prefix_trie": op12_prefix_trie,
 }
 
 ORACLES: dict[str, str] = {
@@ -145,4 +153,36 @@ found AS (
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
   coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM docs LEFT JOIN covered USING (r) LEFT JOIN found USING (r)""",
+    "op12_prefix_trie": r"""
+WITH turns AS (
+  SELECT conv_id, turn, sha256(concat(CAST(length(role) AS VARCHAR), ':', role, text)) AS k, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS n
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL)),
+own AS (
+  SELECT conv_id, list(k ORDER BY turn NULLS FIRST, k) AS ks, list(n ORDER BY turn NULLS FIRST, k) AS ns FROM turns GROUP BY conv_id),
+sized AS (
+  SELECT *, conv_id - conv_id % 20 AS base, xor(4294967295, list_reduce(
+    list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: [CAST(ascii(x) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda c, e: CASE WHEN e >= 0 THEN xor(c, e) ELSE xor(c >> 1, CAST(3988292384 AS BIGINT) * (c & 1)) END)) % 4 AS h
+  FROM own),
+rebuilt AS (
+  SELECT s.conv_id, list_concat(coalesce(b.ks[1:s.h], []), s.ks[s.h + 1:]) AS ks, list_concat(coalesce(b.ns[1:s.h], []), s.ns[s.h + 1:]) AS ns
+  FROM sized s LEFT JOIN own b ON b.conv_id = s.base),
+members AS (
+  SELECT conv_id, ks, ns, unnest(range(0, len(ks) + 1)) AS depth FROM rebuilt),
+placed AS (
+  SELECT conv_id, depth, ks, md5(array_to_string(ks[1:depth], '')) AS path, CASE WHEN depth > 0 THEN md5(array_to_string(ks[1:depth - 1], '')) END AS parent,
+    CASE WHEN depth > 0 THEN ns[depth] ELSE 0 END AS n, len(ks) = depth AS is_end FROM members),
+nodes AS (
+  SELECT path, depth, any_value(parent) AS parent, min(conv_id) AS conv_id, any_value(ks) AS ks, count(*) AS n_convs, (count(*) - 1) * any_value(n) AS saved,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE is_end), '')) AS ends_sha256
+  FROM placed GROUP BY path, depth),
+counted AS (
+  SELECT n.*, coalesce(c.n_children, 0) AS n_children FROM nodes n LEFT JOIN (SELECT parent, count(*) AS n_children FROM nodes GROUP BY parent) c ON n.path = c.parent),
+above AS (
+  SELECT md5(array_to_string(ks[1:e], '')) AS path, saved, CASE WHEN n_children = 0 THEN 1 ELSE 0 END AS leaf
+  FROM (SELECT *, unnest(range(0, depth + 1)) AS e FROM counted)),
+summed AS (
+  SELECT path, CAST(sum(saved) AS BIGINT) AS saved_tokens, CAST(sum(leaf) AS BIGINT) AS n_leaves FROM above GROUP BY path)
+SELECT c.conv_id, c.depth, p.conv_id AS parent_conv_id, c.n_convs, c.n_children, s.n_leaves, s.saved_tokens, c.ends_sha256
+FROM counted c JOIN summed s USING (path) LEFT JOIN nodes p ON p.path = c.parent""",
 }
