@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import bytecnn, language, line_dedup, mixing, packing, postings, prefix_trie, records, rules, simhash, spots, warczip
+from tablewright.llm import bytecnn, collocations, language, line_dedup, mixing, packing, postings, prefix_trie, records, rules, simhash, spots, warczip
 from tablewright.llm.common import fold_key, table
 from tablewright.session import materialise, scratch_path
 
@@ -83,6 +83,10 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(rebuilt)
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_language": op2_language,
@@ -96,6 +100,7 @@ QUERIES = {
     "op10_mix_sources": op10_mix_sources,
     "op11_decontamination": op11_decontamination,
     "op12_prefix_trie": op12_prefix_trie,
+    "op13_collocations": op13_collocations,
 }
 
 ORACLES: dict[str, str] = {
@@ -185,4 +190,36 @@ summed AS (
   SELECT path, CAST(sum(saved) AS BIGINT) AS saved_tokens, CAST(sum(leaf) AS BIGINT) AS n_leaves FROM above GROUP BY path)
 SELECT c.conv_id, c.depth, p.conv_id AS parent_conv_id, c.n_convs, c.n_children, s.n_leaves, s.saved_tokens, c.ends_sha256
 FROM counted c JOIN summed s USING (path) LEFT JOIN nodes p ON p.path = c.parent""",
+    "op13_collocations": r"""
+WITH pieces AS (
+  SELECT lang, regexp_extract_all(unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang,
+          translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)),
+totals AS (
+  SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM pieces GROUP BY lang),
+grams AS (
+  SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM pieces, (SELECT unnest(range(1, 5)) AS k) WHERE len(w) >= k),
+phrases AS (
+  SELECT lang, k, phrase, count(*) AS f FROM (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase FROM grams)
+  GROUP BY lang, k, phrase HAVING count(*) >= 30),
+candidates AS (
+  SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM phrases WHERE k >= 2),
+cuts AS (
+  SELECT lang, k, phrase, a, w, unnest(range(1, k)) AS cut FROM candidates),
+scored AS (
+  SELECT c.lang, c.phrase, c.a, c.cut, x.f AS l, y.f AS r,
+    CAST((CAST(2000000 AS HUGEINT) * c.a) // (CAST(x.f AS HUGEINT) + y.f) AS BIGINT) AS score
+  FROM cuts c JOIN phrases x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:c.cut], ' ')
+    JOIN phrases y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.cut + 1:], ' ')),
+best AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inside AS (
+  SELECT lang, a, w, j, unnest(range(1, k - j + 2)) AS i FROM candidates, (SELECT unnest(range(2, 4)) AS j) WHERE k > j),
+around AS (
+  SELECT lang, phrase, max(a) AS around FROM (SELECT lang, a, array_to_string(w[i:i + j - 1], ' ') AS phrase FROM inside) GROUP BY lang, phrase),
+ranked AS (
+  SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank
+  FROM best b LEFT JOIN around o ON o.lang = b.lang AND o.phrase = b.phrase
+  WHERE around IS NULL OR CAST(100 AS HUGEINT) * around < CAST(80 AS HUGEINT) * a)
+SELECT r.lang, r.rank, r.phrase, r.a, r.l, r.r, t.n, r.score FROM ranked r JOIN totals t USING (lang) WHERE r.rank <= 2000""",
 }
