@@ -44,14 +44,13 @@ WIDTH = 4
 LEAD = ["w1", "w2", "w3", "w4"]
 
 
-def numbered(text: bytes | None, numbers: defaultdict) -> Iterator[np.ndarray]:
-    """The words of a text as numbers, 0 between pieces, slice by slice; a slice ends where a piece ends, if one does within it."""
+def slices(text: bytes | None) -> Iterator[list[bytes]]:
+    """The words of a text with ``MARK`` between pieces, slice by slice; a slice ends where a piece ends, if one does within it."""
     text = (text or b"").lower().translate(TO_MARK)
     at = 0
     while at < len(text):
-        end = len(text) if len(text) - at <= SLICE else (text.rfind(MARK, at, at + SLICE) + 1 or text.find(MARK, at) + 1 or len(text))
-        found = text[at:end].replace(MARK, b" \xff ").split()
-        yield np.fromiter(map(numbers.__getitem__, found), np.int32, len(found))
+        end = len(text) if len(text) - at <= SLICE else text.rfind(MARK, at, at + SLICE) + 1 or text.find(MARK, at) + 1 or len(text)
+        yield text[at:end].replace(MARK, b" \xff ").split()
         at = end
 
 
@@ -68,9 +67,9 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, np.ndarray
         for lang, text in zip(batch.column("lang").to_pylist(), texts):
             if lang not in held:
                 held[lang] = [_numbers(), [], 0]
-            for some in numbered(text, held[lang][0]):
+            for some in slices(text):
                 state = held[lang]
-                state[1] += [some, np.zeros(1, np.int32)]
+                state[1] += [np.fromiter(map(state[0].__getitem__, some), np.int32, len(some)), np.zeros(1, np.int32)]
                 state[2] += len(some) + 1
                 if state[2] >= CHUNK:
                     yield lang, np.concatenate(state[1]), list(state[0])[1:]
