@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextvars
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -12,7 +13,8 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 _local_scratch: str | None = None
-_scopes: list[Scratch] = []
+# The open scopes of this context: jobs that other threads start side by side do not see them.
+_scopes: contextvars.ContextVar[tuple[Scratch, ...]] = contextvars.ContextVar("scopes", default=())
 
 
 class Scratch:
@@ -22,12 +24,11 @@ class Scratch:
         self.spark, self.paths = spark, []
 
     def open(self) -> Scratch:
-        _scopes.append(self)
+        _scopes.set((*_scopes.get(), self))
         return self
 
     def close(self) -> Scratch:
-        if self in _scopes:
-            _scopes.remove(self)
+        _scopes.set(tuple(s for s in _scopes.get() if s is not self))
         return self
 
     def release(self) -> None:
@@ -58,7 +59,7 @@ def scratch_dir(spark: SparkSession) -> str:
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
-        return configured.rstrip("/")
+        return _qualified(spark, configured)
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     global _local_scratch
@@ -67,9 +68,16 @@ def scratch_dir(spark: SparkSession) -> str:
     return _local_scratch
 
 
+def _qualified(spark: SparkSession, path: str) -> str:
+    """The path with its scheme, as Spark resolves it: what opens files without Spark would take one without for a local path."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(conf).makeQualified(folder).toString().rstrip("/")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     path = f"{scratch_dir(spark)}/tablewright/{name}-{uuid.uuid4().hex}"
-    for scope in list(_scopes):
+    for scope in _scopes.get():
         scope.paths.append(path)
     return path
 
@@ -103,8 +111,8 @@ def release(df: DataFrame) -> None:
 
 
 def run_together(spark: SparkSession, *jobs: Callable) -> list:
-    """Start independent jobs side by side and return their results in order."""
+    """Start independent jobs side by side, in the scopes open here, and return their results in order."""
     start = inheritable_thread_target(spark)
     with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
-        futures = [pool.submit(start(job)) for job in jobs]
+        futures = [pool.submit(contextvars.copy_context().run, start(job)) for job in jobs]
         return [f.result() for f in futures]
