@@ -4,17 +4,13 @@ Only the longest windows are counted: at each word the word itself and the three
 of k words starts one such window per occurrence, so Spark's ROLLUP over the four lead columns yields the counts of all shorter phrases, of the
 words, and of the words of a language, from one set of counts.
 
-What cannot matter is padded too, which changes no count of ``min_count`` or more:
+A window is padded, too, before the first two words in a row that occur together less often than ``min_count``: no candidate reaches across them, so no count of
+``min_count`` or more changes. Which pairs these are, a bitmap tells: pairs are counted by a 64-bit hash, and the frequent ones set a bit each.
+Pairs that share a hash or a bit with a frequent one are counted in vain, no more. The bitmap has 16 bits a frequent pair, up to ``BITMAP_BITS`` (16 MB);
+beyond that it lets more pass, and the windows take more room, up to all of them at full length.
 
-* Words that occur less often cannot be part of a candidate. A bitmap of fixed size over hashes of the frequent words tells most of them; a rare word that shares
-  a bit with a frequent one is only counted in vain.
-* Windows meet by their first two words (map-side counted before). There, a window whose first two words are rarer than ``min_count`` shrinks to its first word, and one
-  whose first three are rarer to two.
-* Pairs of very frequent words would make large groups. Words that fill a share ``1 / (4 * parts)`` of the corpus are hot, at most ``8 * parts`` of them. A window that
-  starts with two hot words is dealt by its third word as well, one that starts with three by its fourth, and what such a group cannot decide is kept; every other group is
-  smaller than a quarter of an even share.
-
-Candidates are cut by equi-joins with the counts, and phrases inside longer ones drop by a combinable maximum.
+Windows are counted per task before they are shuffled by all their words, so a hot word, pair or phrase is a row a task. Candidates are cut by
+equi-joins with the counts, and phrases inside longer ones drop by a combinable maximum.
 """
 
 from __future__ import annotations
@@ -38,8 +34,8 @@ PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
 MARK = b"\xff"  # in no UTF-8 text
 TO_MARK = bytes.maketrans(PIECE_ENDS, MARK * len(PIECE_ENDS))
 SLICE = 1 << 22
-CHUNK = 1 << 21  # words whose windows are counted at once
-BITMAP_BITS = 1 << 24
+CHUNK = 1 << 20  # words whose windows are counted at once
+BITMAP_BITS = 1 << 27
 WIDTH = 4
 LEAD = ["w1", "w2", "w3", "w4"]
 
@@ -86,101 +82,80 @@ def _texts(df: DataFrame, text_col: str, lang_col: str) -> DataFrame:
     return df.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).cast("string").alias("text"))
 
 
-def word_counts(texts: DataFrame) -> DataFrame:
-    """``lang``, ``word``, ``hash`` (of both, unsigned 64 bits as a long) and ``n``."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lang, numbers, words in _chunks(batches):
-            if words:
-                n = np.bincount(numbers, minlength=len(words) + 1)[1:]
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(words)), pa.array(words, pa.binary()).cast(pa.string()),
-                                                  pa.array(_hashes(lang, words).view(np.int64)), pa.array(n)], names=["lang", "word", "hash", "n"])
+def _pair_hashes(lang: str, words: list[bytes], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """64-bit hashes of pairs of word numbers (from 1)."""
+    seed = xxhash.xxh32_intdigest(lang.encode())
+    h = np.fromiter((xxhash.xxh3_64_intdigest(w, seed) for w in words), np.uint64, len(words))
+    x = h[left - 1] * np.uint64(0x9E3779B97F4A7C15) + h[right - 1]
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return x ^ (x >> np.uint64(32))
 
-    return texts.mapInArrow(run, "lang string, word string, hash long, n long").groupBy("lang", "word", "hash").agg(F.sum("n").alias("n"))
 
+def pair_counts(texts: DataFrame) -> DataFrame:
+    """``hash`` and ``n`` of the pairs of words that stand in a row in a piece."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lang, numbers, words in _chunks(batches):
+            both = np.flatnonzero((numbers[:-1] > 0) & (numbers[1:] > 0))
+            pairs, n = np.unique(numbers[both].astype(np.int64) << 32 | numbers[both + 1], return_counts=True)
+            hashes = _pair_hashes(lang, words, pairs >> 32, pairs & 0xFFFFFFFF)
+            yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(n)], names=["hash", "n"])
 
-def _hashes(lang: str, words: list[bytes]) -> np.ndarray:
-    seed = xxhash.xxh32_intdigest(lang.encode())
-    return np.fromiter((xxhash.xxh3_64_intdigest(w, seed) for w in words), np.uint64, len(words))
+    return texts.mapInArrow(run, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
 
 
-def _bitmap(frequent: DataFrame) -> bytes:
-    """One bit per hash of a frequent word; rows of 64 bits reach the driver, of which there are at most ``BITMAP_BITS / 64``."""
-    bit = F.col("hash").bitwiseAND(F.lit(BITMAP_BITS - 1))
-    rows = frequent.groupBy(F.shiftright(bit, 6).alias("at")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(hash & 63 as int))")).alias("bits")).toPandas()
-    bits = np.zeros(BITMAP_BITS // 64, "<i8")
-    bits[rows["at"].to_numpy()] = rows["bits"].to_numpy()
+def pair_bitmap(pairs: DataFrame) -> bytes:
+    """A bit per hash. Rows of 64 bits reach the driver, ``BITMAP_BITS / 64`` at most."""
+    size = min(BITMAP_BITS, max(1 << 16, 1 << (16 * pairs.count()).bit_length()))
+    place = F.col("hash").bitwiseAND(F.lit(size - 1))
+    rows = pairs.groupBy(F.shiftright(place, 6).alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, cast(hash & 63 as int))")).alias("bits")).toPandas()
+    bits = np.zeros(size // 64, "<i8")
+    bits[rows["at"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64)
     return bits.tobytes()
 
 
-def _salts(rows: np.ndarray, hashes: np.ndarray, hot: np.ndarray) -> np.ndarray:
-    """0: the group of the first two words is whole. Above: dealt by the third word, whose group is whole. Below: dealt by the fourth."""
-    two = hot[rows[:, 0]] & hot[rows[:, 1]]
-    three = two & hot[rows[:, 2]]
-    by3 = (hashes[rows[:, 2]] & np.uint64(0x3FFFFFFF)).astype(np.int64) + 1
-    by4 = ((hashes[rows[:, 2]] * np.uint64(31) + hashes[rows[:, 3]]) & np.uint64(0x3FFFFFFF)).astype(np.int64) + 1
-    return np.where(three, -by4, np.where(two, by3, 0)).astype(np.int32)
-
-
-def window_counts(texts: DataFrame, bitmap: bytes, hot_words: dict[str, list[bytes]]) -> DataFrame:
-    """``lang``, ``w1`` to ``w4``, ``salt``, ``n``: the longest windows, counted chunk by chunk."""
+def window_counts(texts: DataFrame, bitmap: bytes) -> DataFrame:
+    """``lang``, ``w1`` to ``w4``, ``n``: the longest windows, counted chunk by chunk."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.unpackbits(np.frombuffer(bitmap, np.uint8), bitorder="little").astype(bool) if len(bitmap) else np.empty(0, bool)
+        bits = np.frombuffer(bitmap, np.uint8)
         for lang, numbers, words in _chunks(batches):
             if not words:
                 continue
-            hashes = np.append(np.uint64(0), _hashes(lang, words))
-            frequent = bits[(hashes & np.uint64(BITMAP_BITS - 1)).astype(np.int64)]
-            frequent[0] = False
-            mine = set(hot_words.get(lang, ()))
-            hot = np.array([False, *(w in mine for w in words)])
-            is_word = numbers > 0
-            kept = np.where(frequent[numbers], numbers, 0)
-            padded = np.append(kept, np.zeros(WIDTH, np.int32))
-            rows = np.empty((len(numbers), WIDTH), np.int64)
-            rows[:, 0] = kept
+            both = np.flatnonzero((numbers[:-1] > 0) & (numbers[1:] > 0))
+            at = _pair_hashes(lang, words, numbers[both], numbers[both + 1]) & np.uint64(len(bits) * 8 - 1)
+            goes_on = np.zeros(len(numbers) + WIDTH, bool)
+            goes_on[both] = bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1
+            start = np.flatnonzero(numbers)
+            rows = np.zeros((len(start), WIDTH), np.int64)
+            rows[:, 0] = numbers[start]
+            open_ = np.arange(len(start))
             for k in range(1, WIDTH):
-                rows[:, k] = np.where(rows[:, k - 1] > 0, padded[k:k + len(numbers)], 0)
-            rows = rows[is_word]
+                open_ = open_[goes_on[start[open_] + k - 1]]
+                rows[open_, k] = numbers[start[open_] + k]
             left, right = rows[:, 0] << 32 | rows[:, 1], rows[:, 2] << 32 | rows[:, 3]
             order = np.lexsort((right, left))
             left, right = left[order], right[order]
             first = np.flatnonzero(np.append(True, (left[1:] != left[:-1]) | (right[1:] != right[:-1])))
             n = np.diff(np.append(first, len(left)))
-            rows = np.stack([left[first] >> 32, left[first] & 0xFFFFFFFF, right[first] >> 32, right[first] & 0xFFFFFFFF], axis=1)
-            salts = _salts(rows, hashes, hot)
+            columns = [left[first] >> 32, left[first] & 0xFFFFFFFF, right[first] >> 32, right[first] & 0xFFFFFFFF]
             names = pa.array([None, *words], pa.binary()).cast(pa.string())
-            for at in range(0, len(rows), 100_000):
-                some = rows[at:at + 100_000]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang]).take(pa.array(np.zeros(len(some), np.int32))), *(names.take(pa.array(some[:, k])) for k in range(WIDTH)),
-                     pa.array(salts[at:at + 100_000]), pa.array(n[at:at + 100_000].astype(np.int32))], names=["lang", *LEAD, "salt", "n"])
+            for i in range(0, len(first), 100_000):
+                some = [names.take(pa.array(c[i:i + 100_000])) for c in columns]
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(some[0])), *some, pa.array(n[i:i + 100_000])], names=["lang", *LEAD, "n"])
 
-    return texts.mapInArrow(run, "lang string, w1 string, w2 string, w3 string, w4 string, salt int, n int")
+    return texts.mapInArrow(run, "lang string, w1 string, w2 string, w3 string, w4 string, n long")
 
 
-def phrase_counts(df: DataFrame, min_count: int = 30, text_col: str = "text", lang_col: str = "lang", parts: int | None = None) -> DataFrame:
+def phrase_counts(df: DataFrame, min_count: int = 30, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """``lang``, ``words`` (an array of 1 to 4), ``f``: all phrases that occur ``min_count`` times or more; with no words, ``f`` is the words of the language.
 
     Texts are taken whole; NULL and blank ones have no words, a NULL language is ``und``. Overlapping occurrences count; repeated rows count each. An empty table has no rows.
     """
-    spark = df.sparkSession
-    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = _texts(df, text_col, lang_col)
-    with arrow_batches(spark, 1000):
-        words = materialise(word_counts(texts), "word-counts")
-        total = words.agg(F.sum("n")).first()[0] or 0
-        hot_words = defaultdict(list)
-        for r in words.where(F.col("n") * F.lit(4 * parts) >= total).select("lang", "word").collect():  # at most 4 * parts rows
-            hot_words[r[0]].append(r[1].encode())
-        windows = window_counts(texts, _bitmap(words.where(F.col("n") >= min_count)), dict(hot_words))
-        release(words)
-        met = windows.repartition(parts, "lang", "w1", "w2", "salt").withColumn("key", F.xxhash64("lang", "w1", "w2", "salt"))
-        pair = ["key", "lang", "w1", "w2", "salt"]
-        sums = met.withColumn("n3", F.sum("n").over(Window.partitionBy(*pair, "w3"))).withColumn("n2", F.sum("n").over(Window.partitionBy(*pair)))
-        keep2 = (F.col("salt") != 0) | (F.col("n2") >= min_count)
-        keep3 = (F.col("salt") < 0) | (F.col("n3") >= min_count)
-        padded = sums.select("lang", "w1", F.when(keep2, F.col("w2")).alias("w2"), *[F.when(keep3, F.col(c)).alias(c) for c in LEAD[2:]], "n")
-        counted = materialise(padded.groupBy("lang", *LEAD).agg(F.sum("n").alias("n")), "windows")
+    with arrow_batches(df.sparkSession, 1000):
+        pairs = materialise(pair_counts(texts).where(F.col("n") >= min_count), "pairs")
+        bitmap = pair_bitmap(pairs)
+        release(pairs)
+        counted = materialise(window_counts(texts, bitmap).groupBy("lang", *LEAD).agg(F.sum("n").alias("n")), "windows")
     level = WIDTH - F.bit_count(F.grouping_id())
     rolled = counted.rollup("lang", *LEAD).agg(F.sum("n").alias("f"), level.alias("k"), F.grouping_id().alias("gid"))
     own = F.array(*LEAD)
@@ -197,7 +172,7 @@ def collocations(df: DataFrame, min_count: int = 30, top: int = 2000, covered: i
     Products are decimals of 38 digits, quotients whole. NULLs, empty texts, repeats and empty tables: see ``phrase_counts``.
     """
     parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    counts = materialise(phrase_counts(df, min_count, text_col, lang_col, parts).select(
+    counts = materialise(phrase_counts(df, min_count, text_col, lang_col).select(
         "lang", "words", F.array_join("words", " ").alias("phrase"), F.col("f").cast("long").alias("f")), "phrases")
     size = F.size("words")
     longer = counts.where(size >= 2).select("lang", "words", "phrase", F.col("f").alias("a"))

@@ -65,7 +65,7 @@ def test_against_brute_force(spark, make, corpus, parts, top, min_count):
     assert got == brute([(lang, t) for _, t, lang in corpus], min_count, top) and len(got) > 4
 
 
-def test_small_slices_chunks_and_bitmap(spark, make, corpus, monkeypatch):
+def test_small_slices_and_chunks(corpus, monkeypatch):
     """Tasks see the constants of the driver only through closures, so the counting runs here in one process."""
     import pyarrow as pa
     from itertools import chain
@@ -85,7 +85,7 @@ def test_small_slices_chunks_and_bitmap(spark, make, corpus, monkeypatch):
 
 
 def test_a_shared_bit_changes_nothing(spark, make, corpus, monkeypatch):
-    monkeypatch.setattr(collocations, "_bitmap", lambda frequent: b"\xff" * (collocations.BITMAP_BITS // 8))
+    monkeypatch.setattr(collocations, "pair_bitmap", lambda pairs: b"\xff" * (1 << 13))
     docs = make([(i, t, lang) for i, t, lang in corpus])
     assert rows(collocations.collocations(docs, min_count=5)) == brute([(lang, t) for _, t, lang in corpus], 5)
 
