@@ -18,8 +18,8 @@ around the point where the missing tokens are reached, so no group of rows is ev
 third of all rows is many bins. A threshold stops at the first document that does not fit; the gap is closed by the documents behind it
 that do, the largest one or, where many are needed, a threshold over them, until none fits.
 
-Everything is DataFrame expressions and aggregates. Documents are scanned; those that close the gaps are joined by their hashes,
-broadcast while they are few, and the text moves only beyond that.
+Everything is DataFrame expressions and aggregates. Documents are written once with their sizes and hashes, so that equal rows keep the order they got, and scanned;
+those that close the gaps are joined by their hashes, broadcast while they are few, and the text moves only beyond that.
 """
 
 from __future__ import annotations
@@ -34,6 +34,7 @@ from tablewright.session import materialise, release
 
 BITS = 12  # of the hash, per histogram pass
 HASH_BITS = 60
+ROW_BITS = 20  # the last bits of the hash, which tell equal rows apart
 
 
 def source_weights(totals: DataFrame, weights: Sequence[float]) -> DataFrame:
@@ -94,8 +95,14 @@ def newton_rates(sources: DataFrame, steps: int = 80) -> DataFrame:
 
 
 def _hash(id_col: Column, text: Column) -> Column:
-    """Position of a document in the order in which copies are dealt: ``HASH_BITS`` bits, not negative."""
-    return F.shiftrightunsigned(F.xxhash64(F.lit("mix"), id_col.cast("string"), text), 64 - HASH_BITS)
+    """Position of a row in the order in which copies are dealt: ``HASH_BITS`` bits, not negative.
+
+    The first bits are a hash of id and text, the last ones of the place of the row in the table: equal rows, which are interchangeable, are dealt one by one (or, of very many,
+    a millionth of them at a time).
+    """
+    content = F.shiftrightunsigned(F.xxhash64(F.lit("mix"), id_col.cast("string"), text), 64 - HASH_BITS + ROW_BITS)
+    row = F.shiftrightunsigned(F.xxhash64(F.monotonically_increasing_id()), 64 - ROW_BITS)
+    return F.shiftleft(content, ROW_BITS).bitwiseOR(row)
 
 
 def _threshold(docs: DataFrame, sources: DataFrame) -> DataFrame:
@@ -142,7 +149,7 @@ def _close_gaps(docs: DataFrame, dealt: DataFrame) -> DataFrame:
     threshold over the documents that fit, which passes over those that do not; what it leaves is less than one of these documents.
     So a round halves the gap at least, or takes all there is, and the rounds are as many as the gap has bits.
     """
-    # Repeated rows share a hash and are taken together, so the group has to fit.
+    # Rows that share a hash are taken together, so they have to fit together.
     gaps = dealt.select("source_key", "below", F.floor(F.col("missing") - F.col("reached")).alias("gap"))
     left = materialise(
         docs.join(gaps, "source_key").where((F.col("hash") >= F.col("below")) & (F.col("size") > 0) & (F.col("size") <= F.col("gap")))
@@ -186,7 +193,7 @@ def mix_sources(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     NULL text: 0), ``source_size``, ``target``, ``rate`` and ``copies`` (0 to ``ceil(cap)``). The same input gives the same result.
 
     * A NULL source is a source of its own, ranked last. NULL ids and texts are hashed as such.
-    * Rows equal in id and text are dealt alike. A document without words counts for nothing and is copied by its rate.
+    * Rows equal in id and text are dealt one by one, and it does not matter which of them. A document without words counts for nothing and is copied by its rate.
     * A source whose documents have no words has target 0 and keeps its documents once.
     * An empty table gives an empty result.
 
@@ -198,8 +205,7 @@ def mix_sources(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     keep = df.columns if keep is None else list(keep)
     measured = df.select(key.alias("source_key"), source.alias("source"), F.size(words(F.col(text_col))).cast("long").alias("size"),
                          _hash(F.col(id_col), F.col(text_col)).alias("hash"), F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"))
-    slim = text_col not in keep
-    docs = materialise(measured if slim else measured.drop("row"), "mix-docs")
+    docs = materialise(measured, "mix-docs")
     totals = docs.groupBy("source_key", "source").agg(F.sum("size").alias("source_size"))
     rated = materialise(newton_rates(capped_targets(source_weights(totals, weights), cap)), "mix-rates")
     # The hash order picks whichever set is smaller, the documents with the extra copy or those without, so that
@@ -216,5 +222,5 @@ def mix_sources(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     picked = F.when(F.col("size") == 0, F.col("hash") < share * F.lit(float(1 << HASH_BITS))).otherwise(
         (F.col("hash") < F.col("below")) | F.col("chosen").isNotNull())
     extra = (F.col("rate") != F.floor("rate")) & (picked != F.col("flip"))
-    return (docs if slim else measured).drop("source").join(dealt, "source_key").join(chosen, ["source_key", "hash"], "left").select(
+    return docs.drop("source").join(dealt, "source_key").join(chosen, ["source_key", "hash"], "left").select(
         "row", "size", "source_size", "target", "rate", (F.floor("rate") + extra.cast("int")).cast("int").alias("copies"))

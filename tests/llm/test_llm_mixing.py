@@ -62,8 +62,15 @@ def test_one_dominant_document_among_short_ones(make, repeats):
     long = [(i, "w " * 100_000, "en", "b") for i in range(1)] + [(i, "w " * 100, "en", "b") for i in range(1, 1001)]
     rows = ([(5000 + i, "w " * 100, "en", "a") for i in range(1500)] + long) * repeats
     got = taken(make(rows))
-    agree(got, rows, 100 * repeats)
-    assert {r["copies"] for r in got if r["size"] == 100_000} == {0}
+    agree(got, rows, 100)
+    if repeats == 1:  # of three equal ones, one may fit
+        assert {r["copies"] for r in got if r["size"] == 100_000} == {0}
+
+
+@pytest.mark.parametrize("keep", [None, ["doc_id", "source"]])
+def test_equal_rows_are_dealt_one_by_one(make, keep):
+    rows = [(7, "w " * 20, "en", "a")] * 1000 + [(None, "v " * 20, "en", "b")] * 1000 + [(i, "u " * 20, "en", "c") for i in range(2000)]
+    agree(taken(make(rows), keep=keep), rows, 20)
 
 
 def test_gaps_close_until_nothing_fits(make):
@@ -88,7 +95,8 @@ def test_edges(make, edge):
     alone = taken(make([(1, "one two", "en", None)]))
     assert [(r["target"], r["copies"]) for r in alone] == [(2.0, 1)]
     repeated = taken(make([(1, "one two three", "en", "a")] * 40 + [(2, "x " * 30, "en", "b")]))
-    assert len({r["copies"] for r in repeated if r["source"] == "a"}) == 1
+    copies = [r["copies"] for r in repeated if r["source"] == "a"]
+    assert max(copies) - min(copies) <= 1
 
 
 def test_rates_solve_the_dual(spark):
