@@ -31,18 +31,22 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each group; of rows with the same id, one. Rows without an id stay.
+    """One row of each group of near duplicates: of the smallest id, NULL last, then of the smallest hash of the text.
 
-    The documents that go are the fewer ones, so the join is against them: Spark broadcasts their ids while they are small, and the
-    texts move only beyond that.
+    A row is known by its id and its text, so rows of one id with other texts are judged apart. Of rows equal in both, which are copies, the least in the other
+    columns stays. The rows that go are the fewer ones, so the join is against them: Spark broadcasts their keys while they are small, and
+    the texts move only beyond that. An empty table gives an empty result; NULL texts are one group.
     """
-    found = materialise(simhash.near_duplicates(docs).where("id IS NOT NULL"), "groups")
+    # Never NULL inside, so that keys can be compared and joined.
+    key = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.xxhash64("text").alias("text"))
+    found = materialise(simhash.near_duplicates(docs.select(key.alias("row"), "text"), id_col="row"), "groups")
     gone = materialise(found.where("id != component").select("id").distinct(), "gone")
-    kept = docs.join(gone, F.col("doc_id") == F.col("id"), "left_anti")
-    if (found.groupBy("id").count().agg(F.max("count")).first()[0] or 1) > 1:
-        known = kept.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
-        kept = known.unionByName(kept.where("doc_id IS NULL"))
-    return kept.select(*COLUMNS)
+    kept = docs.withColumn("id", key).join(gone, "id", "left_anti")
+    copies = materialise(found.where("id = component").groupBy("id").count().where("count > 1").select("id"), "copies")
+    if copies.isEmpty():
+        return kept.select(*COLUMNS)
+    least = kept.join(copies, "id", "left_semi").groupBy("id").agg(F.min(F.struct(*COLUMNS)).alias("row")).select("row.*")
+    return kept.join(copies, "id", "left_anti").select(*COLUMNS).unionByName(least)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
