@@ -104,16 +104,51 @@ def json_roundtrip(spark, sf):
     return load_table(spark, path, lines=True, schema=orders.schema)
 
 
-@query("json_arrays", "SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal, c_mktsegment FROM customer")
-def json_arrays(spark, sf):
-    """Files that hold one array of records each: a file per nation."""
-    path = scratch_path(spark, "arrays") + ".json"
+def _in_many_ranges(spark, read: Callable[[], DataFrame]) -> DataFrame:
+    """The table as read while Spark splits small files, too, between the cores."""
+    name = "spark.sql.files.openCostInBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "4096")
+    try:
+        return materialise(read(), "ranges")
+    finally:
+        spark.conf.set(name, before)
+
+
+@query("csv_ranges", "SELECT doc_id, text, lang, source, n_chars FROM documents")
+def csv_ranges(spark, sf):
+    """Files with line breaks and quotes in their cells, each read in ranges by many tasks; types by inference."""
+    path = scratch_path(spark, "ranges") + ".csv"
+    write_table(table(spark, sf, "documents"), path, "csv")
+    return _in_many_ranges(spark, lambda: load_table(spark, path, ranges_from=0))
+
+
+CUSTOMER_SQL = "SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal, c_mktsegment FROM customer"
+
+
+def _write_arrays(spark, sf, path: str, records_a_file: int) -> None:
     customers = table(spark, sf, "customer")
-    arrays = customers.groupBy("c_nationkey").agg(F.to_json(F.collect_list(F.struct(*customers.columns))).alias("value"))
+    block = F.floor(F.col("c_custkey") / records_a_file)
+    arrays = customers.groupBy(block).agg(F.to_json(F.collect_list(F.struct(*customers.columns))).alias("value"))
     arrays.select("value").write.option("maxRecordsPerFile", 1).text(path)
+
+
+@query("json_arrays", CUSTOMER_SQL)
+def json_arrays(spark, sf):
+    """Files that hold one array of records each: a file per block of customers."""
+    path = scratch_path(spark, "arrays") + ".json"
+    _write_arrays(spark, sf, path, 500)
     return load_table(spark, path)
 
 
+@query("json_array_ranges", CUSTOMER_SQL)
+def json_array_ranges(spark, sf):
+    """The same files, larger, each read in ranges by many tasks."""
+    path = scratch_path(spark, "arrays") + ".json"
+    _write_arrays(spark, sf, path, 5000)
+    return _in_many_ranges(spark, lambda: load_table(spark, path, ranges_from=0))
+
+
 @query("parquet_roundtrip", "SELECT * FROM events")
 def parquet_roundtrip(spark, sf):
     path = scratch_path(spark, "roundtrip") + ".parquet"

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablewright.sources.ranges import csv_records, json_array_records, largest_file
+
 # Texts that a CSV cell may hold for "missing".
 MISSING_TEXT = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>",
@@ -68,19 +70,28 @@ def _infer(raw: DataFrame) -> DataFrame:
     return raw.withColumns({c: F.col(f"`{c}`").try_cast(t) for c, t in types.items() if t != "string"})
 
 
+#: Files from this size on are read in ranges by many tasks.
+RANGES_FROM = 32 << 20
+
+
 def read_csv(spark: SparkSession, path: str, sep: str = ",", header: bool = True, schema=None,
-             missing=MISSING_TEXT, multiline: bool = True, **options) -> DataFrame:
+             missing=MISSING_TEXT, multiline: bool = True, ranges_from: int = RANGES_FROM, **options) -> DataFrame:
     """CSV with any separator. Texts in ``missing`` become NULL before the types are inferred.
 
-    Quoted cells may hold line breaks, so a file is read by one task; the sink bounds the size of its files for that. Give
-    ``multiline=False`` for files known to have one row per line, which are split between tasks. Give a ``schema`` for large
-    files: inference reads everything once.
+    Quoted cells may hold line breaks. Files of ``ranges_from`` bytes or more are split between tasks all the same (``csv_records``), unless reader
+    ``options`` are given or the separator has several characters: then one task reads one file. Give ``multiline=False`` for files known to have one row per
+    line, which saves the scan for quotes, and a ``schema`` for large files: inference reads everything once.
     """
     reader = spark.read.options(sep=sep, header=header, quote='"', escape='"', multiLine=multiline, **options)
     names = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     if names is not None:
         reader = reader.schema(T.StructType([T.StructField(f.name, T.StringType()) for f in names]))
     raw = reader.csv(path)
+    if multiline and not options and len(sep) == 1 and raw.columns and largest_file(spark, path) >= ranges_from:
+        layout = ", ".join(f"c{i} string" for i in range(len(raw.columns)))
+        cells = F.from_csv("record", layout, {"sep": sep, "quote": '"', "escape": '"'})
+        raw = csv_records(spark, path, sep, header).select(cells.alias("r")).select(
+            *[F.col(f"r.c{i}").alias(c) for i, c in enumerate(raw.columns)])
     raw = raw.select(*[F.when(~F.col(f"`{c}`").isin(list(missing)), F.col(f"`{c}`")).alias(c)
                        for c in raw.columns])
     if names is not None:
@@ -89,12 +100,22 @@ def read_csv(spark: SparkSession, path: str, sep: str = ",", header: bool = True
     return nan_as_null(_infer(raw))
 
 
-def read_json(spark: SparkSession, path: str, lines: bool = False, schema=None, **options) -> DataFrame:
-    """JSON records: one array per file, or one record per line (``lines=True``, splittable)."""
-    reader = spark.read.options(multiLine=not lines, **options)
+def read_json(spark: SparkSession, path: str, lines: bool = False, schema=None, ranges_from: int = RANGES_FROM, **options) -> DataFrame:
+    """JSON records: an array of objects per file, or one record per line (``lines=True``).
+
+    Files of arrays from ``ranges_from`` bytes on are split between tasks (``json_array_records``); with reader ``options``, one task reads one file.
+    """
+    if lines or options or largest_file(spark, path) < ranges_from:
+        reader = spark.read.options(multiLine=not lines, **options)
+        return nan_as_null((reader if schema is None else reader.schema(schema)).json(path))
+    records = json_array_records(spark, path)
+    reader = spark._jsparkSession.read()
     if schema is not None:
-        reader = reader.schema(schema)
-    return nan_as_null(reader.json(path))
+        ddl = schema if isinstance(schema, str) else ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+        reader = reader.schema(ddl)
+    # A table of texts is what the reader takes besides paths; from Python only its JVM side is within reach.
+    texts = getattr(records._jdf, "as")(spark._jvm.org.apache.spark.sql.Encoders.STRING())
+    return nan_as_null(DataFrame(reader.json(texts), spark))
 
 
 def read_parquet(spark: SparkSession, path: str, **options) -> DataFrame:

@@ -12,8 +12,8 @@ def write_table(df: DataFrame, path: str, format: str = "parquet", mode: str = "
                 rows_per_file: int = ROWS_PER_FILE, **options) -> str:
     """Write a table as a folder of csv, json (one record per line) or parquet files; no index column.
 
-    CSV keeps blanks, line breaks and quotes of texts and the microseconds of times. Its files end after ``rows_per_file`` rows,
-    since a file with line breaks inside cells is read by one task. An empty text is a quoted empty cell, NULL an empty one.
+    CSV keeps blanks, line breaks and quotes of texts and the microseconds of times. Its files end after ``rows_per_file`` rows.
+    An empty text is a quoted empty cell, NULL an empty one.
     """
     if format not in ("csv", "json", "parquet"):
         raise ValueError(f"unsupported table format {format!r}")
