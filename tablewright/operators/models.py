@@ -9,12 +9,12 @@ from collections.abc import Mapping
 from pyspark.ml import Model, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
-    GBTClassifier,
     LogisticRegression,
     RandomForestClassifier,
 )
 from pyspark.sql import DataFrame
 
+from tablewright.operators.boosting import SecondOrderBoosting
 from tablewright.operators.knn import KNNClassifier
 from tablewright.operators.svm import SquaredHingeSVC
 
@@ -109,11 +109,11 @@ def build_model(name: str, n_rows: int, features_col: str = "features", label_co
             minInstancesPerNode=p.pop("min_samples_leaf", 1), impurity=p.pop("criterion", "gini"),
             maxBins=64, maxMemoryInMB=1024, seed=seed, **columns)
     else:
-        model = GBTClassifier(
-            maxIter=p.pop("n_estimators", 100), stepSize=p.pop("learning_rate", 0.3),
-            maxDepth=_depth(p, 6), subsamplingRate=p.pop("subsample", 1.0),
-            featureSubsetStrategy=str(float(p.pop("colsample_bytree", 1.0))), maxBins=64, maxMemoryInMB=512,
-            seed=seed, **columns)
+        model = SecondOrderBoosting(
+            maxIter=p.pop("n_estimators", 100), stepSize=p.pop("learning_rate", 0.3), maxDepth=_depth(p, 6),
+            subsamplingRate=float(p.pop("subsample", 1.0)), columnsPerTree=float(p.pop("colsample_bytree", 1.0)),
+            regLambda=float(p.pop("reg_lambda", 1.0)), gamma=float(p.pop("gamma", 0.0)), minChildWeight=float(p.pop("min_child_weight", 1.0)),
+            maxBins=64, seed=seed, **columns)
     if p:
         raise ValueError(f"unknown parameters for {name}: {sorted(p)}")
     return model

@@ -64,7 +64,8 @@ def test_parameters_translate(spark):
     tree = models.build_model("decision_tree", 1, max_depth=None, criterion="entropy", min_samples_leaf=4)
     assert (tree.getMaxDepth(), tree.getImpurity(), tree.getMinInstancesPerNode()) == (30, "entropy", 4)
     gbt = models.build_model("xgboost", 1, colsample_bytree=0.8, subsample=0.8, learning_rate=0.05)
-    assert (gbt.getFeatureSubsetStrategy(), gbt.getSubsamplingRate(), gbt.getStepSize()) == ("0.8", 0.8, 0.05)
+    wanted = {"columnsPerTree": 0.8, "subsamplingRate": 0.8, "stepSize": 0.05, "maxIter": 100, "maxDepth": 6, "regLambda": 1.0, "gamma": 0.0}
+    assert {k: gbt.getOrDefault(k) for k in wanted} == wanted
     assert tree.getSeed() == 42 and models.build_model("decision_tree", 1, random_state=7).getSeed() == 7
 
 
@@ -93,7 +94,7 @@ def test_grid_search_scores_match_a_hand_made_loop(folded):
         total = 0.0
         for fold in range(3):
             train, valid = folded.filter(F.col("fold") != fold), folded.filter(F.col("fold") == fold)
-            model = models.build_model("logistic_regression", 600, **params).fit(train)
+            model = models.build_model("logistic_regression", train.count(), **params).fit(train)  # C weighs the loss of the rows it is fitted on
             total += tune.f1_evaluator().evaluate(model.transform(valid))
         assert score == pytest.approx(total / 3, abs=1e-9)
 
