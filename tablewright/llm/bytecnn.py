@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import batch_rows, text_batches
+from tablewright.llm.common import batch_rows, sampled, text_batches
 
 WIDTH, FILTERS, BLOCK, CHUNK, HOP = 5, 16, 64, 8, 6
 PIECE = 1 << 20  # bytes of texts that are laid side by side
@@ -169,7 +169,7 @@ def train(samples: list[tuple[int, list[bytes]]], epochs: int = 8, rate: float =
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, train_on: Column | None,
                     max_rows: int, max_chunks: int) -> list[tuple[int, list[bytes]]]:
-    """About ``max_rows`` labelled documents at most, by a hash of the id, each as its training chunks.
+    """About ``max_rows`` labelled documents at most, by a hash of the id, each as its training chunks; of rows with the same id and label, the least text.
 
     At most ``max_rows * max_chunks`` chunks of ``CHUNK * BLOCK`` bytes reach the driver.
     """
@@ -178,8 +178,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
         known = known.where(train_on)
     total = known.count()
     if total > max_rows:
-        known = known.where(F.pmod(F.xxhash64("id", F.lit("cnn")), F.lit(1_000_000)) < int(1e6 * max_rows / total))
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(known, "id").select("id", "label", "text")
+        known = known.where(sampled(F.col("id"), max_rows, total))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(known, "id").groupBy("id", "label").agg(
+        F.min("text").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_batches(batches, "text"):

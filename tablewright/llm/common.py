@@ -31,6 +31,11 @@ def fold_key(id_col: Column) -> Column:
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")))
 
 
+def sampled(key: Column, most: int, total: int) -> Column:
+    """A condition that about ``most`` of ``total`` rows meet, by a 64-bit hash: of any number of rows."""
+    return F.xxhash64(key, F.lit("sample")) < F.lit(-(1 << 63) + (most << 64) // total)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

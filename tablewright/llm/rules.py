@@ -17,7 +17,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import fold_key, let, words
+from tablewright.llm.common import fold_key, let, sampled, words
 from tablewright.session import materialise, release
 
 SYMBOLS = "#*$%&|<>"
@@ -232,7 +232,7 @@ def labelled_statistics(docs: DataFrame, labels: DataFrame, id_col: str, text_co
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("label")).where("id IS NOT NULL AND label IS NOT NULL")
     total = known.count()
     if total > max_rows:
-        known = known.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(1e6 * max_rows / total))
+        known = known.where(sampled(F.col("id"), max_rows, total))
     joined = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(known, "id")
     return with_statistics(joined, "text", {"bad": F.col("label") == 0, "fold": fold_key(F.col("id"))})
 
