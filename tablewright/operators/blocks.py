@@ -39,18 +39,11 @@ def unpack(row: dict[str, bytes]) -> dict[str, np.ndarray]:
     return arrays
 
 
-def block_sums(blocks: DataFrame, size: int, add: Callable[[np.ndarray, dict[str, np.ndarray]], None]) -> np.ndarray:
-    """The sum over all tasks of an array of ``size`` numbers, to which ``add`` adds block after block.
+def sum_parts(parts: DataFrame, size: int) -> np.ndarray:
+    """The sum of the arrays of ``size`` numbers in the binary column ``part``, one row a task.
 
-    A task sends one array. Beyond ``DIRECT`` tasks, groups of tasks are added up by other tasks, so that the driver gets about the root of their number.
+    Beyond ``DIRECT`` tasks, groups of tasks are added up by other tasks, so that the driver gets about the root of their number.
     """
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(size)
-        for batch in batches:
-            for row in batch.to_pylist():
-                add(total, unpack(row))
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()])], names=["part"])
-
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size)
         for batch in batches:
@@ -58,8 +51,19 @@ def block_sums(blocks: DataFrame, size: int, add: Callable[[np.ndarray, dict[str
                 total += np.frombuffer(part)
         yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()])], names=["part"])
 
-    parts, tasks = blocks.mapInArrow(run, "part binary"), blocks.rdd.getNumPartitions()
+    tasks = parts.rdd.getNumPartitions()
     if tasks > DIRECT:
         parts = parts.repartition(int(tasks ** 0.5) + 1).mapInArrow(merge, "part binary")
-    return sum((np.frombuffer(r["part"]) for r in parts.toLocalIterator()), np.zeros(size)) if tasks > DIRECT else sum(
-        (np.frombuffer(r["part"]) for r in parts.collect()), np.zeros(size))
+    return sum((np.frombuffer(r["part"]) for r in parts.collect()), np.zeros(size))
+
+
+def block_sums(blocks: DataFrame, size: int, add: Callable[[np.ndarray, dict[str, np.ndarray]], None]) -> np.ndarray:
+    """The sum over all tasks of an array of ``size`` numbers, to which ``add`` adds block after block; a task sends one array."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size)
+        for batch in batches:
+            for row in batch.to_pylist():
+                add(total, unpack(row))
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()])], names=["part"])
+
+    return sum_parts(blocks.mapInArrow(run, "part binary"), size)

@@ -49,17 +49,22 @@ def category_values(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return _long(as_text, names).distinct()
 
 
-def fit_categories(df: DataFrame, names: Sequence[str], limit: int | None = None) -> dict[str, list[str]]:
-    """Sorted categories per column, each of which becomes a column. More than ``limit`` in one column is an error; no limit by default."""
+#: Categories of a column beyond which ``fit_categories`` refuses unless told otherwise.
+MAX_CATEGORIES = 100_000
+
+
+def fit_categories(df: DataFrame, names: Sequence[str], limit: int | None = MAX_CATEGORIES) -> dict[str, list[str]]:
+    """Sorted categories per column, each of which becomes a column. More than ``limit`` in one column is an error that names it; None lifts the limit."""
     if not names:
         return {}
     values = category_values(df, names)
-    if limit is not None:
-        large = values.groupBy("column").count().where(F.col("count") > limit).collect()
-        if large:
-            raise ValueError(f"more than {limit} categories in {sorted(r['column'] for r in large)}")
-    rows = values.collect()
-    return {c: sorted(r["value"] for r in rows if r["column"] == c) for c in names}
+    # One more than all columns may have together: then some column has too many.
+    rows = (values if limit is None else values.limit(limit * len(names) + 1)).collect()
+    found = {c: sorted(r["value"] for r in rows if r["column"] == c) for c in names}
+    large = sorted(c for c, v in found.items() if limit is not None and len(v) > limit)
+    if large:
+        raise ValueError(f"more than {limit} categories in {large}")
+    return found
 
 
 # Name -> aggregate of a double column. ``skewness`` is the population (biased) third moment.

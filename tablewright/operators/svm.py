@@ -4,7 +4,7 @@ It minimises ``penalty(w) + C * sum of max(0, 1 - y * (w.x + b))^2`` with y = -1
 or the sum of absolute weights, the intercept included as the weight of a constant feature.
 
 The loss is smooth, so Newton steps settle in some ten passes. A pass is one aggregate of fixed size per task: loss,
-gradient and curvature over the rows inside the margin, d + d * d numbers, summed in Spark. The step for d weights is worked out on the
+gradient and curvature over the rows inside the margin, an array of d + d * d numbers a task, added up in groups of tasks where there are many. The step for d weights is worked out on the
 driver: a linear system for L2, coordinate descent on the quadratic model for L1.
 """
 
@@ -23,6 +23,8 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablewright.operators.blocks import sum_parts
+
 PENALTIES = ("l1", "l2")
 
 
@@ -48,13 +50,9 @@ def loss_sums(rows: DataFrame, weights: np.ndarray) -> tuple[float, np.ndarray,
             total[0] += (gap ** 2).sum()
             total[1:1 + d] -= 2 * x.T @ (y * gap)
             total[1 + d:] += 2 * (x.T @ x).ravel()
-        yield pa.RecordBatch.from_arrays([pa.array([total.tolist()], pa.list_(pa.float64()))], names=["part"])
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()])], names=["part"])
 
-    parts = rows.mapInArrow(run, "part array<double>").select(F.posexplode("part").alias("place", "value"))
-    found = parts.groupBy("place").agg(F.sum("value").alias("value")).collect()
-    total = np.zeros(1 + d + d * d)
-    for r in found:
-        total[r["place"]] = r["value"]
+    total = sum_parts(rows.mapInArrow(run, "part binary"), 1 + d + d * d)
     return total[0], total[1:1 + d], total[1 + d:].reshape(d, d)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 
 from tablewright.operators.columns import numeric_columns, require
 from tablewright.operators.quantiles import exact_quantiles
-from tablewright.operators.stats import edge_probs, fit_categories, merge_edges
+from tablewright.operators.stats import MAX_CATEGORIES, edge_probs, fit_categories, merge_edges
 from tablewright.operators.transforms import (
     bin_columns,
     encode_one_hot,
@@ -35,7 +35,7 @@ class TransformerConfig:
     nominal_cols: Sequence[str] = ()
     ignore_cols: Sequence[str] = ()
     skew_with_missing: str = "minmax"
-    max_categories: int | None = None
+    max_categories: int | None = MAX_CATEGORIES
 
 
 class Transformer:

@@ -388,3 +388,11 @@ def test_leaderboard_order_and_champion(spark):
         metrics.leaderboard({})
     plain = metrics.leaderboard({n: t.drop("mean_f1_score") for n, t in tables.items()})
     assert [r["model"] for r in plain.collect()] == ["a", "b", "c"]
+
+
+def test_categories_without_end_are_refused_by_name(spark):
+    df = spark.range(300).selectExpr("cast(id as string) AS free", "cast(id % 3 as string) AS few")
+    with pytest.raises(ValueError, match="free"):
+        stats.fit_categories(df, ["few", "free"], limit=200)
+    assert len(stats.fit_categories(df, ["few", "free"], limit=None)["free"]) == 300
+    assert stats.MAX_CATEGORIES == 100_000
