@@ -2,9 +2,11 @@
 
 A common word is an anchor. Its signature is the anchor with the next ``2`` content words (common words between them are passed
 over); where several common words stand in a row, the last is the anchor. The fingerprint of a text is the set of its signatures,
-written as ascending 32-bit hashes. Two fingerprints are compared by the Jaccard similarity of their sets. The
-operator compares given pairs and searches for none: ``length_partition``, by which sets of similarity ``at_least`` lie in the same or in
-neighbouring partitions, is there for a caller, and pairs are not pruned unless ``at_least`` is given.
+written as ascending 32-bit hashes. Two fingerprints are compared by the Jaccard similarity of their sets.
+
+``edited_fingerprints`` compares given pairs. ``similar_classes`` finds all pairs of similarity ``at_least``: such sets lie in the same or in neighbouring
+partitions by their length, and share one of their rarest signatures, so these are joined within neighbouring partitions, and what the lengths do not
+rule out is compared.
 
 A text in which no common word is followed by two content words has every three words in a row as signatures; with
 fewer words, their sequence; without a word, its characters; and the empty text has the empty set.
@@ -21,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tablewright.llm.common import let
+from tablewright.session import materialise
 
 # Common words of English, German, French and Spanish.
 COMMON_WORDS = tuple("""
@@ -84,7 +87,8 @@ def likeness(left: Column, right: Column, at_least: float = 0.0) -> Column:
     a, b = F.size(left), F.size(right)
     common = F.size(F.array_intersect(left, right))
     exact = let(common, lambda n: n / (a + b - n))
-    return F.when((a == 0) & (b == 0), F.lit(1.0)).when((a == 0) | (b == 0) | (F.least(a, b) < at_least * F.greatest(a, b)), F.lit(0.0)).otherwise(exact)
+    apart = F.least(a, b) < at_least * F.greatest(a, b) - 1e-9
+    return F.when((a == 0) & (b == 0), F.lit(1.0)).when((a == 0) | (b == 0) | apart, F.lit(0.0)).otherwise(exact)
 
 
 def _bounds(df: DataFrame, rows_per_bucket: int, max_buckets: int) -> list[int]:
@@ -146,3 +150,30 @@ def edited_fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "
     return edited.select("id", "n_chars", "signatures", "edited", "edited_signatures",
                          likeness(F.col("signatures"), F.col("edited_signatures"), at_least).alias("near_edited"),
                          likeness(F.col("signatures"), F.col("next_signatures"), at_least).alias("near_next"))
+
+
+def similar_classes(df: DataFrame, at_least: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """Members ``id``, ``class`` of the classes of equal fingerprints, and the pairs ``left``, ``right``, ``likeness`` of different classes that are ``at_least`` alike.
+
+    A class stands for all rows of its fingerprint, so copies give no pairs; NULL and empty texts are one class, like nothing else. Every row of ``df`` is a member,
+    repeated ids and NULL ones as well. An empty table has neither. ``at_least`` is above 0 and below 1.
+    """
+    if not 0 < at_least < 1:
+        raise ValueError("at_least has to lie between 0 and 1")
+    docs = materialise(df.select(F.col(id_col).alias("id"), signatures(F.col(text_col).cast("string")).alias("signatures")), "spots")
+    classes = materialise(docs.select("signatures").distinct().withColumn("class", F.monotonically_increasing_id()), "spot-classes")
+    members = docs.join(classes, "signatures").select("id", "class")
+    n = F.size("signatures")
+    each = classes.where(n > 0).select("class", n.alias("n"), length_partition(F.col("signatures"), at_least).alias("part"), F.explode("signatures").alias("s"))
+    rarity = each.groupBy("s").agg(F.count("*").alias("known"))
+    ordered = each.join(rarity, "s").groupBy("class", "n", "part").agg(F.sort_array(F.collect_list(F.struct("known", "s"))).alias("order"))
+    # Two sets of similarity at_least share more than n - at_least * n of their signatures, so one of the rarest of each.
+    rarest = F.slice("order", F.lit(1), (F.col("n") - F.ceil(at_least * F.col("n") - 1e-9) + 1).cast("int"))
+    index = materialise(ordered.select("class", "n", "part", F.explode(rarest).alias("o")).select("class", "n", "part", F.col("o.s").alias("s")), "spot-index")
+    probe = index.select(F.col("class").alias("a"), F.col("n").alias("n_a"), "s", F.col("part").alias("own"), F.explode(F.array(F.col("part"), F.col("part") + 1)).alias("part"))
+    met = probe.join(index.withColumnsRenamed({"class": "b", "n": "n_b"}), ["s", "part"]).where(
+        ((F.col("own") < F.col("part")) | (F.col("a") < F.col("b"))) & (F.least("n_a", "n_b") >= at_least * F.greatest("n_a", "n_b") - 1e-9))
+    pairs = met.select(F.least("a", "b").alias("left"), F.greatest("a", "b").alias("right")).distinct()
+    sets = [classes.select(F.col("class").alias(side), F.col("signatures").alias(f"of_{side}")) for side in ("left", "right")]
+    compared = pairs.join(sets[0], "left").join(sets[1], "right").select("left", "right", likeness(F.col("of_left"), F.col("of_right"), at_least).alias("likeness"))
+    return members, compared.where(F.col("likeness") >= at_least - 1e-12)

@@ -83,3 +83,40 @@ def test_pruning(spark):
     sizes = spark.range(1, 400).select(F.col("id"), spots.length_partition(F.sequence(F.lit(1), F.col("id").cast("int")), 0.8).alias("p")).collect()
     part = {r["id"]: r["p"] for r in sizes}
     assert all(part[b] - part[a] in (0, 1) for a in part for b in part if a <= b and a >= 0.8 * b)
+
+
+@pytest.mark.parametrize("at_least", [0.5, 0.8, 0.9])
+def test_similar_classes_against_all_pairs(make, edge, at_least):
+    import random
+    from itertools import combinations
+    rng = random.Random(4)
+    words = ["the", "of", "a", *(f"w{i}" for i in range(60))]
+    base = [[rng.choice(words) for _ in range(160)] for _ in range(12)]
+    rows = [*edge]
+    for i in range(150):
+        text = list(rng.choice(base))
+        for _ in range(rng.choice([0, 1, 2, 5, 20])):
+            text[rng.randrange(len(text))] = rng.choice(words)
+        rows.append((100 + i, " ".join(text[:rng.choice([160, 160, 140, 80])])))
+    df = make(rows)
+    members, pairs = spots.similar_classes(df, at_least)
+    members, pairs = members.collect(), pairs.collect()
+    found = df.select("doc_id", spots.signatures(F.col("text")).alias("s")).collect()
+    assert sorted((str(r["id"]) for r in members)) == sorted(str(r["doc_id"]) for r in found)
+    of_class = {}
+    for r in members:
+        of_class.setdefault(r["class"], []).append(r["id"])
+    sets = {frozenset(r["s"]) for r in found}
+    assert len(of_class) == len(sets)
+    by_id = {r["doc_id"]: frozenset(r["s"]) for r in found if r["doc_id"] is not None}
+    named = lambda c: by_id[next(i for i in of_class[c] if i is not None)]
+    got = {frozenset((named(r["left"]), named(r["right"]))): r["likeness"] for r in pairs}
+    want = {frozenset((a, b)): jaccard(a, b) for a, b in combinations(sets, 2) if a and b and jaccard(a, b) >= at_least - 1e-12}
+    assert len(pairs) == len(got) and {k: pytest.approx(v) for k, v in want.items()} == got and want
+
+
+def test_similar_classes_of_nothing(make):
+    members, pairs = spots.similar_classes(make([(1, None)]).where("doc_id = 2"))
+    assert members.count() == pairs.count() == 0
+    with pytest.raises(ValueError):
+        spots.similar_classes(make([(1, "a")]), 1.0)
