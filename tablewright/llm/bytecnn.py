@@ -215,7 +215,8 @@ def classify_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
 
     ``train_on`` is a condition on the labels' column ``id``. ``max_rows`` and ``max_chunks`` bound the training sample only;
     scores read whole texts. NULL and empty texts get the score of no bytes, equal texts equal scores. Rows
-    with NULL ids are scored but not trained on; NULL labels are left out. No labelled row gives 0.5 throughout.
+    with NULL ids are scored but not trained on; NULL labels are left out. No labelled row gives 0.5 throughout. Repeated rows are scored each. Other columns do
+    not matter, but ``keep`` may not name one ``__text``. An empty ``docs`` gives an empty result.
     """
     batch_rows(docs.sparkSession, 500)
     model = train(labelled_sample(docs, labels, id_col, text_col, label_col, train_on, max_rows, max_chunks), **training)

@@ -132,7 +132,8 @@ def identify(df: DataFrame, training: DataFrame, text_col: str = "text", lang_co
     """Per row of ``df``: the columns ``keep``, ``lang_pred`` and ``score``.
 
     The score is the nearest prototype's cosine, moved from -1..1 to 0..1. NULL texts and texts without a letter get ``und`` and 0, as do
-    all texts if nothing could be learnt. Ties go to the language that sorts first. Only ``text_col`` is read for a prediction.
+    all texts if nothing could be learnt. Ties go to the language that sorts first. Only ``text_col`` is read for a prediction, whole, however long; repeated rows are
+    scored, and learnt from, each. Other columns do not matter, but ``keep`` may not name one ``__text``. An empty ``df`` gives an empty result.
     """
     learnt = prototypes(training, text_col, lang_col, max_languages)
     langs = list(learnt)

@@ -215,6 +215,7 @@ def drop_repeated_lines(df: DataFrame, text_col: str = "text", min_docs: int = 1
     * Lines are what ``\\n`` separates; a NULL or empty text is one empty line, which is kept. A blank line has no key and stays.
     * A row counts as one document however often a key is repeated in it; repeated rows count each.
     * A text whose lines all go becomes the empty text. An empty table gives an empty result.
+    * Texts are taken whole, however long; NULL and repeated ids do not matter, nor do other columns, but ``keep`` may not name one ``__text``.
     """
     path, shards, _ = build_index(count_keys(df, text_col), min_docs, shard_keys)
     batch_rows(df.sparkSession, 500)

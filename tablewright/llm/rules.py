@@ -241,7 +241,8 @@ def apply_rules(df: DataFrame, rules: DecisionList, id_col: str = "doc_id", text
                 max_repeat_percent: int = 50) -> DataFrame:
     """Per row of ``df``: its id, the base counts, ``base_failed`` and ``kept``; other columns of ``df`` do not matter.
 
-    A NULL or empty text has no words and fails the base test; a NULL id stays NULL.
+    A NULL or empty text has no words and fails the base test; a NULL id stays NULL; repeated rows are judged each, equal texts alike. Texts are taken whole, however
+    long. An empty ``df`` gives an empty result.
     """
     counted = with_statistics(df, text_col, {id_col: F.col(id_col)})
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))

@@ -138,7 +138,8 @@ def edited_fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "
     """Per row of ``df``: ``id``, ``n_chars``, ``signatures``, ``edited`` (its text with the last half replaced by the start of the next
     document's, by descending id, the first after the last), ``edited_signatures``, ``near_edited`` and ``near_next`` (``likeness``).
 
-    NULL text is empty. A table of one row follows itself; an empty table gives an empty result; other columns do not matter.
+    NULL text is empty. A table of one row follows itself; an empty table gives an empty result; other columns do not matter. Texts are taken whole, however long. Rows of
+    one id are ordered by a hash of what they carry, so equal ones follow each other; NULL ids come last.
     """
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).withColumn(
         "signatures", signatures(F.col("text")))

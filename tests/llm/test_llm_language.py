@@ -41,3 +41,67 @@ def test_bundles_do_not_depend_on_the_batch():
     together = language.bundles(texts)
     assert all((language.bundles([t])[0] == v).all() for t, v in zip(texts, together))
     assert not together[2].any() and together[3].any()
+
+
+def brute_letters(seed=11):
+    """The random vector of each class of letters, as drawn for the given seed; the rest is written out below."""
+    import numpy as np
+    return (np.random.default_rng(seed).integers(0, 2, (128, 1024)).astype(int) * 2 - 1).tolist()
+
+
+def brute_class(c):
+    if not c.isalpha():
+        return 0
+    low = c.lower()[0]
+    return ord(low) - 96 if "a" <= low <= "z" else 27 + (ord(low) * 2654435761 >> 8) % 101
+
+
+def brute_bundle(text, letters):
+    """Bind and bundle letter by letter: rotate, multiply, add."""
+    classes = [brute_class(c) for c in text]
+    total = [0] * 1024
+    if not any(classes):
+        return total
+    row = [0]
+    for c in [*classes, 0]:
+        if c or row[-1]:
+            row.append(c)
+    for a, b, c in zip(row, row[1:], row[2:]):
+        for d in range(1024):
+            # A vector rotated by r places has at d what was at d - r.
+            total[d] += letters[a][(d - 2) % 1024] * letters[b][(d - 1) % 1024] * letters[c][d]
+    return total
+
+
+def brute_unit(v):
+    length = sum(x * x for x in v) ** 0.5
+    return [x / length for x in v] if length else list(v)
+
+
+def test_against_brute_force(make):
+    letters = brute_letters()
+    training = [(1, "the cat and the dog", "en"), (2, "this is the end of it", "en"), (3, "der Hund und die Katze", "de"), (4, "das ist nicht schön", "de"),
+                (5, "le chien et le chat", "fr"), (6, "c'est la fin", "fr"), (7, "42", "xx")]
+    texts = [(10, "the end of the dog"), (11, "die schöne Katze"), (12, "la fin du chien"), (13, "x"), (14, "漢字 and the"), (15, "  "), (16, None)]
+    sums = {}
+    for _, text, lang in training:
+        unit = [round(x * (1 << 20)) for x in brute_unit(brute_bundle(text, letters))]
+        sums[lang] = [a + b for a, b in zip(sums.get(lang, [0] * 1024), unit)]
+    known = {k: brute_unit(v) for k, v in sorted(sums.items()) if any(v)}
+    centre = [sum(v[d] for v in known.values()) / len(known) for d in range(1024)]
+    compare = {k: brute_unit([a - b for a, b in zip(v, centre)]) for k, v in known.items()}
+    want = {}
+    for i, text in texts:
+        bundle = brute_bundle(text or "", letters)
+        if not any(bundle):
+            want[i] = ("und", 0.0)
+            continue
+        mine = brute_unit([a - b for a, b in zip(brute_unit(bundle), centre)])
+        cosines = {k: sum(a * b for a, b in zip(mine, v)) for k, v in compare.items()}
+        best = max(cosines, key=cosines.get)
+        want[i] = (best, (1 + cosines[best]) / 2)
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in
+           language.identify(make(texts), make(training), keep={"doc_id": F.col("doc_id")}).collect()}
+    assert {i: lang for i, (lang, _) in got.items()} == {i: lang for i, (lang, _) in want.items()}
+    for i in got:
+        assert got[i][1] == pytest.approx(want[i][1], abs=1e-5)
