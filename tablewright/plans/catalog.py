@@ -1226,7 +1226,7 @@ def score_columns(spark, sf):
 # --- search, selection, AutoML --------------------------------------------------------------------------
 
 _SMALL_GRIDS = {
-    "logistic_regression": [{"C": 0.01}, {"C": 1}],
+    "logistic_regression": models.param_grid("logistic_regression"),
     "svm": [{"C": 1, "penalty": "l1"}],
     "decision_tree": [{"max_depth": 5}, {"max_depth": 5, "criterion": "entropy"}],
     "random_forest": [{"n_estimators": 10, "max_depth": 5}],
