@@ -19,7 +19,10 @@ TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, trained on the labelled ones, does not reject."""
+    """Documents that the classifier, trained on the labelled ones, does not reject: those with a score of 0.5 or more.
+
+    NULL and empty texts are scored as no bytes; repeated rows are judged alike; without labels every row stays. An empty table gives an empty result.
+    """
     scored = bytecnn.classify_quality(docs, table(spark, sf_dir, "labels"), keep={c: F.col(c) for c in COLUMNS})
     return scored.where(F.col("score") >= 0.5).select(*COLUMNS)
 
@@ -50,13 +53,19 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """As many rows of each document as the mix takes copies of it."""
+    """As many rows of each document as the mix takes copies of it.
+
+    A NULL source is a source of its own; documents without words are copied by their rate; equal rows are dealt one by one. An empty table gives an empty result.
+    """
     mixed = mixing.mix_sources(docs)
     return mixed.select("row.*", F.explode(F.array_repeat(F.lit(1), F.col("copies"))).alias("copy")).select(*COLUMNS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents with their token ids and their place in sequences of 2048 tokens."""
+    """Pieces of all documents with their token ids and their place in sequences of 2048 tokens.
+
+    A NULL text is an empty one and has its end token; every row is packed, repeated ones each, and long ones in pieces. An empty table gives an empty result.
+    """
     return packing.pack_documents(docs, TOKENIZER, end_id=0).withColumnRenamed("id", "doc_id")
 
 
