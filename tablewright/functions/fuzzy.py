@@ -111,6 +111,7 @@ def canonicalise(c: Column, golden: Sequence[str], threshold: float = 90, scorer
     return F.when(c.isin(golden), c).otherwise(match(unknown, golden, threshold))
 
 
+LITERAL_VALUES = 1000
 BROADCAST_VALUES = 20_000
 
 
@@ -119,8 +120,8 @@ def canonicalise_columns(df: DataFrame, specs: Mapping[str, Sequence[str]], thre
     """``canonicalise`` for columns of a batch table, each distinct value scored once.
 
     The values that are neither golden nor missing are collected by a distinct aggregate over all columns; only those are scored,
-    and only those that are repaired are joined back. Up to ``BROADCAST_VALUES`` of them are broadcast. Beyond that, the rows that need
-    a repair are joined by value, column by column, and the others pass by. ``source`` may name a table with at least the values of
+    and only those that are repaired are brought back: up to ``LITERAL_VALUES`` of them as sets of texts per golden value in one projection, up to
+    ``BROADCAST_VALUES`` by broadcast. Beyond that, the rows that need a repair are joined by value, column by column, and the others pass by. ``source`` may name a table with at least the values of
     ``df`` that is cheaper to read.
     """
     if scorer not in SCORERS:
@@ -144,6 +145,22 @@ def canonicalise_columns(df: DataFrame, specs: Mapping[str, Sequence[str]], thre
         return pd.Series(out, dtype=object)
 
     repairs = materialise(unknown.select("i", "value", best("i", "value").alias("fixed")).where("fixed IS NOT NULL"), "repairs")
+    few = repairs.limit(LITERAL_VALUES + 1).collect()
+    if len(few) <= LITERAL_VALUES:
+        texts: dict = {}
+        for r in few:
+            texts.setdefault((r["i"], r["fixed"]), []).append(r["value"])
+
+        def repaired_by_sets(i: int, c: str) -> Column:
+            cell = F.col(f"`{c}`")
+            golden = [g for g in specs[c] if (i, g) in texts]
+            out = F.when(cell.isin(list(specs[c])), cell)
+            for g in dict.fromkeys(golden):
+                out = out.when(cell.isin(texts[i, g]), F.lit(g))
+            return out.alias(c)
+
+        place = {c: i for i, c in enumerate(specs)}
+        return df.select(*[repaired_by_sets(place[c], c) if c in place else F.col(f"`{c}`") for c in df.columns])
     small = repairs.count() <= BROADCAST_VALUES
     for i, (c, golden) in enumerate(specs.items()):
         found = repairs.where(F.col("i") == i).select(F.col("value").alias("__value"), F.col("fixed").alias("__fixed"))

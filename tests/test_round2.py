@@ -134,15 +134,16 @@ CASES = [("school high", "high school"), ("the high school", "high school"), ("u
          ("none", "none"), (None, None), ("zzz", None), ("hgh shcool", None), ("university of somewhere far away and further", "university")]
 
 
-@pytest.mark.parametrize("small", [20_000, 0])
-def test_repair_scores_distinct_values_once(spark, monkeypatch, small):
+@pytest.mark.parametrize("literal, small", [(1000, 20_000), (0, 20_000), (0, 0)])
+def test_repair_scores_distinct_values_once(spark, monkeypatch, literal, small):
+    monkeypatch.setattr(fuzzy, "LITERAL_VALUES", literal)
     monkeypatch.setattr(fuzzy, "BROADCAST_VALUES", small)
     golden = ["none", "high school", "university"]
     rows = [(i, v, "x", want) for i, (v, want) in enumerate(CASES * 30)]
     df = spark.createDataFrame(rows, "i int, a string, b string, want string").repartition(4)
     out = canonicalise_columns(df, {"a": golden, "b": ["x", "y"]})
     plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "Python" not in plan and "Arrow" not in plan
+    assert "Python" not in plan and "Arrow" not in plan and ("Join" not in plan) == bool(literal)
     got = out.collect()
     assert len(got) == len(rows) and all(r["a"] == r["want"] and r["b"] == "x" for r in got)
 
