@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -89,33 +90,52 @@ class Tree:
             column[node] = value
         return left, right
 
-    def nodes_of(self, rows: np.ndarray, coded: bool) -> np.ndarray:
-        """The leaf of each row of codes, or of values. A leaf leads to itself, so all rows take as many steps as the deepest."""
+    def walk(self, coded: bool) -> Walk:
+        """The tree as it stands, for rows of codes or of values."""
         n = len(self.feature)
-        leaf = np.array(self.feature) < 0
-        feature = np.where(leaf, 0, self.feature)
-        cut = np.where(leaf, 0, self.code if coded else self.cut)
-        itself = np.arange(n)
+        leaf, itself = np.array(self.feature) < 0, np.arange(n)
         left, right = np.where(leaf, itself, self.left), np.where(leaf, itself, self.right)
-        to = np.stack([right, left], axis=1).ravel()  # by node and side
-        missing_to = np.where(self.missing_left, left, right)
         depth = np.zeros(n, np.int64)
         for node in range(n):  # children come after their parent
             if not leaf[node]:
                 depth[[self.left[node], self.right[node]]] = depth[node] + 1
+        return Walk(coded, int(depth.max()), np.where(leaf, 0, self.feature), np.where(leaf, 0, self.code if coded else self.cut),
+                    np.stack([right, left], axis=1).ravel(), np.where(self.missing_left, left, right), np.array(self.value))
+
+    def nodes_of(self, rows: np.ndarray, coded: bool) -> np.ndarray:
+        return self.walk(coded).nodes(rows)
+
+    def of(self, rows: np.ndarray, coded: bool) -> np.ndarray:
+        return self.walk(coded).of(rows)
+
+
+@dataclass
+class Walk:
+    """A tree as arrays by node, small to send and quick to apply. A leaf leads to itself, so all rows take as many steps as the deepest."""
+
+    coded: bool
+    depth: int
+    feature: np.ndarray
+    cut: np.ndarray
+    to: np.ndarray  # by 2 * node + side, the left side last
+    missing_to: np.ndarray
+    value: np.ndarray
+
+    def nodes(self, rows: np.ndarray) -> np.ndarray:
+        """The leaf of each row."""
         cells, first = rows.ravel(), np.arange(len(rows)) * rows.shape[1]
-        any_missing = bool((cells == MISSING).any() if coded else np.isnan(cells).any())
+        any_missing = bool((cells == MISSING).any() if self.coded else np.isnan(cells).any())
         node = np.zeros(len(rows), np.int64)
-        for _ in range(int(depth.max())):
-            cell = cells.take(first + feature.take(node))
-            after = to.take(2 * node + (cell <= cut.take(node)))
+        for _ in range(self.depth):
+            cell = cells.take(first + self.feature.take(node))
+            after = self.to.take(2 * node + (cell <= self.cut.take(node)))
             if any_missing:
-                after = np.where(cell == MISSING if coded else np.isnan(cell), missing_to.take(node), after)
+                after = np.where(cell == MISSING if self.coded else np.isnan(cell), self.missing_to.take(node), after)
             node = after
         return node
 
-    def of(self, rows: np.ndarray, coded: bool) -> np.ndarray:
-        return np.array(self.value)[self.nodes_of(rows, coded)]
+    def of(self, rows: np.ndarray) -> np.ndarray:
+        return self.value.take(self.nodes(rows))
 
 
 def _unpack(row: dict, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -133,7 +153,7 @@ class Trainer:
     def __init__(self, coded: DataFrame, width: int, bins: int, subsample: float, seed: int):
         self.width, self.bins, self.subsample, self.seed = width, bins, subsample, seed
         self.scratch = Scratch(coded.sparkSession).open()
-        self.recent: list[Tree] = []
+        self.recent: list[Walk] = []
         self.blocks = None
         self._keep(coded)
 
@@ -155,16 +175,17 @@ class Trainer:
     def histograms(self, tree: Tree, nodes: list[int], columns: np.ndarray, number: int) -> np.ndarray:
         """(node, column, bin, gradient or curvature) over the rows drawn for the tree, for the given nodes of it."""
         width, bins, subsample, seed, recent = self.width, self.bins, self.subsample, self.seed, list(self.recent)
+        walk, n_nodes = tree.walk(True), len(tree.feature)
         shape = (len(nodes), len(columns), bins + 1, 2)
 
         def run(rows):
             total = np.zeros(shape)
-            slot = np.full(len(tree.feature), -1)
+            slot = np.full(n_nodes, -1)
             slot[nodes] = np.arange(len(nodes))
             for row in rows:
                 codes, y, margin = _unpack(row, width)
-                margin = margin + sum(t.of(codes, True) for t in recent)
-                at = slot[tree.nodes_of(codes, True)]
+                margin = margin + sum(t.of(codes) for t in recent)
+                at = slot[walk.nodes(codes)]
                 mine = at >= 0
                 if subsample < 1:
                     mine &= np.random.default_rng([seed, number, row["block"] >> 32, row["block"] & 0xFFFFFFFF]).random(len(y)) < subsample
@@ -184,13 +205,13 @@ class Trainer:
 
     def keep(self, tree: Tree) -> None:
         """Count the finished tree in; now and then write the margins anew."""
-        self.recent.append(tree)
+        self.recent.append(tree.walk(True))
         if len(self.recent) == REFRESH:
             width, recent = self.width, self.recent
 
             def run(row):
                 codes, _, margin = _unpack(row, width)
-                return {**row, "margin": (margin + sum(t.of(codes, True) for t in recent)).tobytes()}
+                return {**row, "margin": (margin + sum(t.of(codes) for t in recent)).tobytes()}
 
             spark = self.scratch.spark
             self._keep(spark.createDataFrame(self.blocks.map(run), "block long, codes binary, margin binary, y binary"))
@@ -328,12 +349,12 @@ class SecondOrderBoostingModel(Model, _Columns, DefaultParamsReadable, DefaultPa
         return DenseVector(total / (total.sum() or 1.0))
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        trees = self.trees
+        trees = [t.walk(False) for t in self.trees]
 
         @F.pandas_udf("double")
         def margin(x: pd.Series) -> pd.Series:
             rows = np.stack(x.to_numpy()) if len(x) else np.empty((0, 1))
-            return pd.Series(sum((t.of(rows, False) for t in trees), np.zeros(len(rows))))
+            return pd.Series(sum((t.of(rows) for t in trees), np.zeros(len(rows))))
 
         p = 1 / (1 + F.exp(-F.col("__margin")))
         scored = dataset.withColumn("__margin", margin(vector_to_array(self.getFeaturesCol())))
