@@ -15,15 +15,14 @@ from pyspark.ml.classification import (
 from pyspark.sql import DataFrame
 
 from tablewright.operators.boosting import SecondOrderBoosting
+from tablewright.operators.deep_trees import DeepForest
 from tablewright.operators.knn import KNNClassifier
 from tablewright.operators.svm import SquaredHingeSVC
 
 SUPPORTED_MODELS = ("logistic_regression", "svm", "decision_tree", "random_forest", "xgboost", "knn")
 
-# Spark's trees are at most 30 deep.
+# Spark's trees are at most 30 deep; ``max_depth=None`` grows trees without a limit.
 TREE_DEPTH_LIMIT = 30
-# What ``max_depth=None`` means in a forest, whose memory doubles with each level; ``unlimited_depth`` sets another.
-FOREST_UNLIMITED_DEPTH = 15
 
 # The search grids, in the parameter names of the factory below.
 PARAM_GRIDS: dict[str, dict[str, list]] = {
@@ -67,11 +66,11 @@ def _regularisation(p: dict, n_rows: int) -> float:
     return 1.0 / (p.pop("C", 1.0) * max(n_rows, 1))
 
 
-def _depth(p: dict, default, unlimited: int = TREE_DEPTH_LIMIT) -> int:
-    """``max_depth``, or what stands for no limit; a depth that Spark cannot grow is an error."""
+def _depth(p: dict, default: int | None, unlimited: int | None = None) -> int | None:
+    """``max_depth``, or what stands for no limit; an explicit depth that Spark cannot grow is an error."""
     depth = p.pop("max_depth", default)
     depth = unlimited if depth is None else int(depth)
-    if depth > TREE_DEPTH_LIMIT:
+    if depth is not None and depth > TREE_DEPTH_LIMIT:
         raise ValueError(f"max_depth {depth} is over the limit of {TREE_DEPTH_LIMIT}")
     return depth
 
@@ -98,19 +97,21 @@ def build_model(name: str, n_rows: int, features_col: str = "features", label_co
     elif name == "svm":
         model = SquaredHingeSVC(C=float(p.pop("C", 1.0)), penalty=p.pop("penalty", "l2"),
                                 maxIter=p.pop("max_iter", 1000), tol=p.pop("tol", 1e-4), **columns)
-    elif name == "decision_tree":
-        model = DecisionTreeClassifier(
-            impurity=p.pop("criterion", "gini"), maxDepth=_depth(p, None),
-            minInstancesPerNode=p.pop("min_samples_leaf", 1), maxBins=64, maxMemoryInMB=512, seed=seed, **columns)
-    elif name == "random_forest":
-        model = RandomForestClassifier(
-            numTrees=p.pop("n_estimators", 100),
-            maxDepth=_depth(p, None, p.pop("unlimited_depth", FOREST_UNLIMITED_DEPTH)),
-            minInstancesPerNode=p.pop("min_samples_leaf", 1), impurity=p.pop("criterion", "gini"),
-            maxBins=64, maxMemoryInMB=1024, seed=seed, **columns)
+    elif name in ("decision_tree", "random_forest"):
+        forest = name == "random_forest"
+        depth = _depth(p, None, p.pop("unlimited_depth", None) if forest else None)
+        shared = {"impurity": p.pop("criterion", "gini"), "minInstancesPerNode": p.pop("min_samples_leaf", 1), "seed": seed, **columns}
+        n_trees = p.pop("n_estimators", 100) if forest else 1
+        if depth is None:
+            model = DeepForest(numTrees=n_trees, bootstrap=forest, columnsPerNode="sqrt" if forest else "all",
+                               subtreeRows=p.pop("subtree_rows", 1 << 18), **shared)
+        elif forest:
+            model = RandomForestClassifier(numTrees=n_trees, maxDepth=depth, maxBins=64, maxMemoryInMB=1024, **shared)
+        else:
+            model = DecisionTreeClassifier(maxDepth=depth, maxBins=64, maxMemoryInMB=512, **shared)
     else:
         model = SecondOrderBoosting(
-            maxIter=p.pop("n_estimators", 100), stepSize=p.pop("learning_rate", 0.3), maxDepth=_depth(p, 6),
+            maxIter=p.pop("n_estimators", 100), stepSize=p.pop("learning_rate", 0.3), maxDepth=_depth(p, 6, TREE_DEPTH_LIMIT),
             subsamplingRate=float(p.pop("subsample", 1.0)), columnsPerTree=float(p.pop("colsample_bytree", 1.0)),
             regLambda=float(p.pop("reg_lambda", 1.0)), gamma=float(p.pop("gamma", 0.0)), minChildWeight=float(p.pop("min_child_weight", 1.0)),
             maxBins=64, seed=seed, **columns)

@@ -12,7 +12,7 @@ from pyspark.ml.feature import VectorAssembler, VectorSlicer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.operators.models import FOREST_UNLIMITED_DEPTH
+from tablewright.operators.deep_trees import DeepForest
 from tablewright.operators.split import mark_folds
 from tablewright.operators.tune import f1_evaluator
 
@@ -28,8 +28,10 @@ def assemble(df: DataFrame, features: Sequence[str], label: str, keep: Sequence[
     return assembler.transform(base).select("features", "label", *keep)
 
 
-def default_base_model(max_depth: int = FOREST_UNLIMITED_DEPTH):
-    """A forest of 100 trees, as deep as ``max_depth=None`` means in ``build_model``."""
+def default_base_model(max_depth: int | None = None):
+    """A forest of 100 trees, without a limit of depth unless one is given."""
+    if max_depth is None:
+        return DeepForest(numTrees=100, bootstrap=True, columnsPerNode="sqrt", seed=42, featuresCol="chosen", labelCol="label")
     return RandomForestClassifier(numTrees=100, maxDepth=max_depth, seed=42, maxBins=64, maxMemoryInMB=1024,
                                   featuresCol="chosen", labelCol="label")
 

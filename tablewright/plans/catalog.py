@@ -19,6 +19,7 @@ from tablewright.functions.fuzzy import canonicalise
 from tablewright.operators import columns as cols
 from tablewright.operators import logistic, metrics, models, ranges, split, stats, svm, transforms, tune
 from tablewright.operators.blocks import numeric_blocks
+from tablewright.operators.deep_trees import walk_of
 from tablewright.operators.dedup import drop_duplicate_rows
 from tablewright.operators.impute import fill_values, fit_fill_values, impute
 from tablewright.operators.knn import KNNClassifier
@@ -1141,6 +1142,50 @@ def model_tree(spark, sf):
     return leaves.agg(F.sum("n").alias("n_train"), (F.count(F.lit(1)) > 1).alias("splits"), F.count_if(wrong).alias("wrong_leaves"))
 
 
+@query("model_tree_unlimited", f"""{RISK_SQL}
+SELECT count(*) AS n_train, CAST(0 AS BIGINT) AS open_leaves, CAST(0 AS BIGINT) AS wrong_leaves, true AS deeper_than_limit FROM final WHERE NOT is_test""")
+def model_tree_unlimited(spark, sf):
+    """Without a limit of depth every leaf is pure or holds rows that no bin tells apart; the larger class of its training rows is predicted.
+
+    Nodes of more than 2,000 rows are split over all tasks, smaller ones in one task each.
+    """
+    train, model, _ = _fitted(spark, sf, "decision_tree", subtree_rows=2000)
+    def bin_of(j, cuts):
+        # The bin of a value is the number of cuts below it.
+        return F.size(F.filter(F.lit(cuts.tolist()), lambda cut: cut < F.get(vector_to_array("features"), F.lit(j)))) if len(cuts) else F.lit(0)
+
+    bins = F.array(*[bin_of(j, cuts) for j, cuts in enumerate(model.cuts)])
+    leaves = model.leaves(model.transform(train)).select(F.get("leaf", F.lit(0)).alias("leaf"), "prediction", "label", bins.alias("bins"))
+    by_leaf = leaves.groupBy("leaf", "prediction").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("label").alias("share"), (F.min("bins") == F.max("bins")).alias("alike"))
+    wrong = ((F.col("prediction") == 1) & (F.col("share") < 0.5)) | ((F.col("prediction") == 0) & (F.col("share") > 0.5))
+    depth = walk_of(model.trees[0], None).depth
+    return by_leaf.agg(F.sum("n").alias("n_train"), F.count_if((F.col("share") > 0) & (F.col("share") < 1) & ~F.col("alike")).alias("open_leaves"),
+                       F.count_if(wrong).alias("wrong_leaves"), F.lit(depth > 5).alias("deeper_than_limit"))
+
+
+@query("model_forest_unlimited", f"""{RISK_SQL}
+SELECT tree, count(*) FILTER (WHERE NOT is_test) AS n_train, true AS as_many_copies, true AS better_than_share FROM final, range(20) t(tree) GROUP BY tree""")
+def model_forest_unlimited(spark, sf):
+    """Per tree of an unlimited forest: the training rows, whether its leaves were grown from as many copies as rows (to 10 %), and whether
+    its leaves predict the training rows, of which it saw some 63 %, better than the larger class does."""
+    train, model, _ = _fitted(spark, sf, "random_forest", n_estimators=20)
+    n = train.count()
+    trees = [walk_of(t, model.cuts) for t in model.trees]
+    copies = F.array(*[F.lit(abs(int(t["rows"][t["left"] < 0].sum()) - n) <= 0.1 * n) for t in model.trees])
+
+    @F.pandas_udf("array<double>")
+    def shares(x: pd.Series) -> pd.Series:
+        rows = np.stack(x.to_numpy())
+        return pd.Series(list(np.stack([t.of(rows) for t in trees], axis=1)))
+
+    by_tree = train.select("label", F.posexplode(shares(vector_to_array("features"))).alias("tree", "share"))
+    right = F.avg(((F.col("share") > 0.5).cast("double") == F.col("label")).cast("double"))
+    return by_tree.groupBy(F.col("tree").cast("long").alias("tree")).agg(
+        F.count(F.lit(1)).alias("n_train"), (right > F.greatest(F.avg("label"), 1 - F.avg("label"))).alias("better_than_share")).withColumn(
+        "as_many_copies", F.get(copies, F.col("tree").cast("int")))
+
+
 @query("model_forest", _BEATS_SQL)
 def model_forest(spark, sf):
     return _beats_majority(_fitted(spark, sf, "random_forest", n_estimators=50, max_depth=10)[2])

@@ -62,7 +62,7 @@ def test_parameters_translate(spark):
     lr = models.build_model("logistic_regression", 200, C=0.5)
     assert lr.getRegParam() == pytest.approx(1 / (0.5 * 200)) and lr.getMaxIter() == 1000
     tree = models.build_model("decision_tree", 1, max_depth=None, criterion="entropy", min_samples_leaf=4)
-    assert (tree.getMaxDepth(), tree.getImpurity(), tree.getMinInstancesPerNode()) == (30, "entropy", 4)
+    assert [tree.getOrDefault(k) for k in ("maxDepth", "impurity", "minInstancesPerNode", "numTrees", "bootstrap")] == [-1, "entropy", 4, 1, False]
     gbt = models.build_model("xgboost", 1, colsample_bytree=0.8, subsample=0.8, learning_rate=0.05)
     wanted = {"columnsPerTree": 0.8, "subsamplingRate": 0.8, "stepSize": 0.05, "maxIter": 100, "maxDepth": 6, "regLambda": 1.0, "gamma": 0.0}
     assert {k: gbt.getOrDefault(k) for k in wanted} == wanted
