@@ -183,7 +183,7 @@ class Segment:
             at = to
 
     def has(self, terms: np.ndarray, places: np.ndarray) -> np.ndarray:
-        wanted = terms * self.span + places
+        wanted = terms.astype(np.int64) * self.span + places  # numbers of terms are 32-bit, keys are not
         at = np.searchsorted(self.keys, wanted)
         return (at < len(self.keys)) & (self.keys[np.minimum(at, len(self.keys) - 1)] == wanted)
 

@@ -109,6 +109,16 @@ def test_candidates_in_chunks(spark, make, monkeypatch):
     assert sorted(zip(window, place)) == [*((0, i) for i in range(0, 100, 2)), *((1, i) for i in range(1, 99, 2))]
 
 
+def test_terms_times_places_pass_32_bits(spark, make):
+    words = [f"w{i}" for i in range(60_000)]
+    index = postings.build_index(make([(1, " ".join(words)), (2, " ".join(words[59_000:59_009])), (3, " ".join(words[50_000:50_015] + ["z"]))]))
+    items = spark.createDataFrame([(i, " ".join(words[i:i + 10])) for i in range(0, 60_000, 10)], "item_id long, text string")
+    got = {r["id"]: r for r in postings.contamination(index, items).collect()}
+    assert [(r["n_words"], r["n_hit"], len(r["items"])) for r in (got[1], got[2], got[3])] == [(60_000, 60_000, 6_000), (9, 0, 0), (16, 10, 1)]
+    runs = {(r["id"], r["item"], r["first"], r["last"]) for r in postings.phrase_matches(index, items).collect()}
+    assert runs == {(3, 50_000, 0, 9), *((1, i, i, i + 9) for i in range(0, 60_000, 10))}
+
+
 def test_query_and_empty_tables(spark, sf_dir, tmp_path):
     con = duckdb.connect()
     for t in ("documents", "benchmark"):
