@@ -1,5 +1,7 @@
 import contextvars
+import os
 import threading
+from types import SimpleNamespace
 
 import pytest
 
@@ -45,3 +47,18 @@ def test_shared_folder_without_scheme_is_resolved_as_spark_does(spark, tmp_path)
         assert session._qualified(spark, "file:/tmp/x") == "file:/tmp/x"
     finally:
         hadoop.set("fs.defaultFS", before)
+
+
+def test_local_shared_folder_without_scheme_stays_a_plain_path(spark, tmp_path):
+    folder = lambda given: session.scratch_dir(SimpleNamespace(conf={"spark.checkpoint.dir": given}, sparkContext=spark.sparkContext))
+    spark.range(3).write.parquet(f"{folder(f'{tmp_path}/')}/t")
+    assert "t" in os.listdir(folder(str(tmp_path))) and folder(str(tmp_path)) == str(tmp_path)
+    assert folder(f"file://{tmp_path}") == folder(f"file:{tmp_path}") == f"file:{tmp_path}"
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    before = hadoop.get("fs.defaultFS")
+    try:
+        hadoop.set("fs.defaultFS", "viewfs://shared/")
+        hadoop.set("fs.viewfs.mounttable.shared.link./data", f"file://{tmp_path}")
+        assert folder("/data/x") == "viewfs://shared/data/x"
+    finally:
+        hadoop.set("fs.defaultFS", before)
