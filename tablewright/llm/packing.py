@@ -214,11 +214,17 @@ def pack_documents(df: DataFrame, tokenizer: str, end_id: int, id_col: str = "do
                 return rows, []
             return rows, [pool[i] for b in rest for i in b]
 
-        for batch, texts in text_batches(batches, "text"):
-            kind = batch.column("id").type
+        def documents() -> Iterator[tuple[object, str]]:
+            nonlocal kind
+            for batch, texts in text_batches(batches, "text"):
+                kind = batch.column("id").type
+                for doc, text in zip(batch.column("id").to_pylist(), texts):
+                    yield doc, (text or b"").decode()
+
+        for some in words.encode_all(documents()):
             rows = []
-            for doc, text in zip(batch.column("id").to_pylist(), texts):
-                ids = words.encode((text or b"").decode()) + tail
+            for doc, ids in some:
+                ids += tail
                 for number, (start, length) in enumerate(pieces_of(len(ids) // width, capacity)):
                     made = piece(doc, number, start, length, ids)
                     if length == capacity:
