@@ -1,9 +1,12 @@
+from pathlib import Path
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tablewright.operators import knn
-from tablewright.operators.knn import KNNClassifier, KNNModel, vote
+from tablewright.operators.knn import KNNClassifier, KNNModel, vote, vote_many
+from tablewright.session import scratch_scope
 
 
 def tables(spark, train, test, labels):
@@ -91,3 +94,43 @@ def test_bad_settings(spark):
     train_df, test_df = tables(spark, np.zeros((2, 1)), np.zeros((1, 1)), [0, 1])
     with pytest.raises(ValueError):
         KNNClassifier(5, key_col="id").fit(train_df).neighbours(test_df)
+
+
+@pytest.mark.parametrize("p", [1, 2])
+def test_small_cells_do_not_multiply_what_is_shipped(spark, p):
+    """Cells of 20 rows in many dimensions, where no box excludes anything: the visits stay few, whatever cells are asked for."""
+    rng = np.random.default_rng(11)
+    train, test = rng.normal(size=(3000, 48)), rng.normal(size=(600, 48))
+    train_df, test_df = tables(spark, train, test, [0] * 3000)
+    model = KNNClassifier(5, p=p, key_col="id", rows_per_pivot=20, block_rows=16).fit(train_df)
+    with scratch_scope(spark) as scope:
+        assert found(model, test_df) == brute(train, test, 5, p)
+        folder = Path(next(path for path in scope.paths if "knn-visits" in path).removeprefix("file:"))
+        assert sum(f.stat().st_size for f in folder.glob("*.parquet")) < 10e6  # 600 rows that visit each of 150 cells are 35 MB
+
+
+@pytest.mark.parametrize("p", [1, 2])
+def test_blocks_of_large_cells_and_equal_rows(spark, p, monkeypatch):
+    """Cells of several blocks, more equal rows than neighbours, and missing numbers, which are never near."""
+    monkeypatch.setattr(knn, "CELL_BYTES", 1200)
+    rng = np.random.default_rng(12)
+    train = np.concatenate([np.tile([0.5, 0.5, 0.5], (300, 1)), rng.integers(0, 4, (300, 3)), [[0.5, np.nan, 0.5]]])
+    test = np.concatenate([np.tile([0.5, 0.5, 0.5], (20, 1)), rng.integers(0, 4, (30, 3)).astype(float)])
+    train_df, test_df = tables(spark, train, test, [0] * len(train))
+    model = KNNClassifier(7, p=p, key_col="id", rows_per_pivot=60, block_rows=8).fit(train_df)
+    assert found(model, test_df) == brute(train, test, 7, p)
+
+
+def test_votes_side_by_side(spark):
+    rng = np.random.default_rng(13)
+    rows = [(t, r, float(rng.integers(0, 3)), float(d)) for t in range(40) for r, d in enumerate(np.sort(rng.integers(0, 6, 9)), 1)]
+    near = spark.createDataFrame([(t, r, r, *rest) for t, r, *rest in rows], "test_key int, rank int, train_key int, label double, distance double")
+    points = [(i, k, w) for i, (k, w) in enumerate((k, w) for k in (1, 4, 9) for w in ("uniform", "distance"))]
+    together = {(r["point"], r["test_key"]): (r["prediction"], r["score"]) for r in vote_many(near, points).collect()}
+    for i, k, w in points:
+        assert {key: v for (point, key), v in together.items() if point == i} == {r["test_key"]: (r["prediction"], r["score"]) for r in vote(near, k, w).collect()}
+        for t in range(40):
+            mine = [(c, d) for key, r, c, d in rows if key == t and r <= k]
+            zero = any(d == 0 for _, d in mine)
+            shares = {c: round(sum((1.0 if w == "uniform" else float(d == 0) if zero else 1 / d) for x, d in mine if x == c), 9) for c, _ in mine}
+            assert together[i, t][0] == min(shares, key=lambda c: (-shares[c], c))
